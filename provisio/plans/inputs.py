@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from provisio.operators import features as fe
 from provisio.operators import ingest, policy
+from provisio.session import checkpoint_dir
 from provisio.sources import adapter
 
 
@@ -51,6 +52,16 @@ class Inputs:
     def policy(self) -> DataFrame:
         return policy.procurement_policy(self.features)
 
+    @cached_property
+    def policy_table(self) -> DataFrame:
+        """The product table materialized once in the shared checkpoint folder.
+
+        Exploration queries read it many times (scalar subqueries, unions);
+        cutting the lineage keeps each of them from re-running the two
+        fact-sized shuffles and keeps the plans small."""
+        checkpoint_dir(self.spark)
+        return self.policy.checkpoint(eager=True)
+
     @cached_property
     def products(self) -> DataFrame:
         return adapter.products(self.spark, self.sf_dir, self.inventory)
