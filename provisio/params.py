@@ -70,7 +70,7 @@ class CycleParams:
     delay_alert_days: int = 2
     default_supplier: str = "DEFAULT"
     tier_scores: dict = field(default_factory=lambda: {
-        "Premium": 0.9, "Standard": 0.7, "Economy": 0.5})
+        "Economy": 0.9, "Standard": 0.7, "Premium": 0.5})
     tier_default: float = 0.6
 
 

@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from provisio.operators import features as fe
+from provisio.operators import cycle as cy
 from provisio.operators import ingest, policy
 from provisio.session import checkpoint_dir
 from provisio.sources import adapter
@@ -69,3 +70,35 @@ class Inputs:
     @cached_property
     def suppliers(self) -> DataFrame:
         return adapter.suppliers(self.spark, self.sf_dir, self.lines)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return adapter.model_scores(self.policy_table)
+
+    @cached_property
+    def scored_suppliers(self) -> DataFrame:
+        return cy.supplier_score(self.suppliers)
+
+    @cached_property
+    def ranked_suppliers(self) -> DataFrame:
+        return cy.supplier_ranking(self.scored_suppliers)
+
+    @cached_property
+    def decisions(self) -> DataFrame:
+        return cy.procurement_decisions(self.products, self.scored, self.ranked_suppliers)
+
+    @cached_property
+    def orders_out(self) -> DataFrame:
+        return cy.procurement_orders(self.decisions)
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return cy.negotiation_candidates(self.orders_out)
+
+    @cached_property
+    def negotiations(self) -> DataFrame:
+        return cy.apply_negotiations(self.candidates, adapter.supplier_offers(self.candidates))
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        return cy.alerts(self.products, self.decisions)

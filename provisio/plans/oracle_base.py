@@ -159,7 +159,7 @@ demand AS (
          ship_days_mean, ship_days_std, delay_mean, delay_std, on_time_mean, early_mean, late_mean
   FROM dagg d JOIN qmode q ON d.product_id = q.product_id
               LEFT JOIN trend t ON d.product_id = t.product_id),
-supplier AS (
+supfeat AS (
   SELECT d.product_id, ship_days_mean, ship_days_std, delay_mean, delay_std, on_time_mean, early_mean,
          late_mean, f.fulfillment_days,
          1.0 - late_mean AS delivery_reliability,
@@ -214,7 +214,7 @@ features AS (
     {fill0('s.late_mean')} AS late_mean, {fill0('s.fulfillment_days')} AS fulfillment_days,
     {fill0('s.delivery_reliability')} AS delivery_reliability,
     {fill0('s.fulfillment_consistency')} AS fulfillment_consistency
-  FROM demand d LEFT JOIN supplier s ON d.product_id = s.product_id
+  FROM demand d LEFT JOIN supfeat s ON d.product_id = s.product_id
   FULL OUTER JOIN invf i ON d.product_id = i.product_id),
 pol1 AS (
   SELECT *,

@@ -144,7 +144,7 @@ def current_inventory(i):
     return fe.current_inventory(i.inventory)
 
 
-@query("supplier_features", with_ctes(f"SELECT {_cols(SUPPLIER_COLS)} FROM supplier"))
+@query("supplier_features", with_ctes(f"SELECT {_cols(SUPPLIER_COLS)} FROM supfeat"))
 def supplier_features(i):
     """A20, A21, J3."""
     return fe.supplier_features(i.lines, i.fulfillment).select(*SUPPLIER_COLS)

@@ -94,7 +94,7 @@ def products(spark: SparkSession, sf_dir: str, inventory: DataFrame | None = Non
                       F.col("p_size").alias("lead_time"))
             .join(latest, "product_id", "left")
             .join(sup, "product_id", "left")
-            .withColumn("current_stock", F.coalesce(F.col("current_stock"), F.lit(0.0))))
+            .withColumn("current_stock", F.coalesce(F.col("current_stock"), F.lit(0.0)).cast("long")))
 
 
 def suppliers(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
@@ -122,3 +122,36 @@ def stock_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor("value").cast("double").alias("stock"),
         F.get_json_object("props", "$.k").cast("long").alias("order_id"),
         "event_type")
+
+
+def model_scores(policy: DataFrame) -> DataFrame:
+    """Stand-in model scores per product (FIXTURES v_pred): demand = mean line quantity,
+    stockout risk = 0.9 * stockout frequency + 0.05, priority = priority score."""
+    return policy.select("product_id", F.col("qty_mean").alias("demand_pred"),
+                         (F.lit(0.9) * F.col("stockout_frequency") + F.lit(0.05)).alias("risk_pred"),
+                         F.col("priority_score").alias("priority_pred"))
+
+
+def supplier_offers(candidates: DataFrame) -> DataFrame:
+    """Stand-in supplier counter-offers (FIXTURES v_offers): price * (1 - (product_id % 8) / 100)."""
+    from decimal import Decimal
+    return candidates.select(
+        "order_id",
+        (F.col("original_price") * (F.lit(1) - (F.col("product_id") % 8) * F.lit(Decimal("0.01"))))
+        .cast("decimal(18,4)").alias("offer_price"))
+
+
+def status_decisions(table: DataFrame, key: str) -> DataFrame:
+    """Stand-in approve/cancel decisions (FIXTURES v_decisions): product_id % 3 = 0 approve,
+    1 cancel, 2 no decision."""
+    m = F.col("product_id") % 3
+    return (table.select(key, F.when(m == 0, "approved").when(m == 1, "cancelled").alias("new_status"))
+            .filter(F.col("new_status").isNotNull()))
+
+
+def supplier_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes per (product, supplier): the mean unit price that supplier charged on its order lines."""
+    li = scan(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    return (li.groupBy(F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("supplier_id"))
+            .agg((F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double") / F.sum("l_quantity"))
+                 .alias("quote_price")))
