@@ -115,26 +115,32 @@ def fit_candidate(train: DataFrame, cols: list[str], cand: Candidate, sigma: flo
     return _pipeline(cols, est, select_k if select_k and select_k < len(cols) else None).fit(train)
 
 
-def train_task(ml: DataFrame, task: str, candidates: Sequence[Candidate] = CANDIDATES,
-               select_k: int | None = 15) -> list[dict]:
-    """Split 80/20, select 15 features, scale, fit every candidate; a failing model is skipped."""
+def _task_data(ml: DataFrame, task: str):
     target, _ = TASKS[task]
     df, cols = task_frame(ml, target)
     df = df.withColumn("is_test", split_flag())
     train, test = df.filter(~F.col("is_test")), df.filter(F.col("is_test"))
     sigma, n = _sigma_n(train)
-    rows = []
-    for cand in candidates:
-        try:
-            model = fit_candidate(train, cols, cand, sigma, n, select_k)
-        except Exception as e:  # noqa: BLE001 - the reference skips failing models too
-            rows.append(dict(task=task, model=cand.name, status=f"failed: {type(e).__name__}"))
-            continue
-        m = regression_metrics(model.transform(test)).first()
-        rows.append(dict(task=task, model=cand.name, status="ok", rmse=float(m.rmse), mae=float(m.mae),
-                         r2=float(m.r2) if m.r2 is not None else None, test_rows=int(m.rows),
-                         train_rows=n, num_features=min(select_k or len(cols), len(cols))))
-    return rows
+    return train, test, cols, sigma, n
+
+
+def _fit_one(task: str, data, cand: Candidate, select_k: int | None) -> dict:
+    train, test, cols, sigma, n = data
+    try:
+        model = fit_candidate(train, cols, cand, sigma, n, select_k)
+    except Exception as e:  # noqa: BLE001 - the reference skips failing models too
+        return dict(task=task, model=cand.name, status=f"failed: {type(e).__name__}")
+    m = regression_metrics(model.transform(test)).first()
+    return dict(task=task, model=cand.name, status="ok", rmse=float(m.rmse), mae=float(m.mae),
+                r2=float(m.r2) if m.r2 is not None else None, test_rows=int(m.rows),
+                train_rows=n, num_features=min(select_k or len(cols), len(cols)))
+
+
+def train_task(ml: DataFrame, task: str, candidates: Sequence[Candidate] = CANDIDATES,
+               select_k: int | None = 15) -> list[dict]:
+    """Split 80/20, select 15 features, scale, fit every candidate; a failing model is skipped."""
+    data = _task_data(ml, task)
+    return [_fit_one(task, data, c, select_k) for c in candidates]
 
 
 LEADERBOARD_SCHEMA = ("task string, model string, status string, rmse double, mae double, r2 double, "
@@ -142,11 +148,14 @@ LEADERBOARD_SCHEMA = ("task string, model string, status string, rmse double, ma
 
 
 def model_leaderboard(spark: SparkSession, ml: DataFrame, tasks: Sequence[str] = tuple(TASKS),
-                      candidates: Sequence[Candidate] = CANDIDATES, parallelism: int = 4) -> DataFrame:
-    """Every candidate for every task; tasks are fitted concurrently (Spark jobs)."""
+                      candidates: Sequence[Candidate] = CANDIDATES, parallelism: int = 8,
+                      select_k: int | None = 15) -> DataFrame:
+    """Every candidate for every task; the fits are submitted concurrently
+    (each fit is a set of distributed Spark jobs)."""
+    data = {t: _task_data(ml, t) for t in tasks}
+    jobs = [(t, c) for t in tasks for c in candidates]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(lambda t: train_task(ml, t, candidates), tasks))
-    rows = [r for rs in results for r in rs]
+        rows = list(pool.map(lambda tc: _fit_one(tc[0], data[tc[0]], tc[1], select_k), jobs))
     cols = [c.split()[0] for c in LEADERBOARD_SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], LEADERBOARD_SCHEMA)
 

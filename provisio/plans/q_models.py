@@ -411,12 +411,12 @@ def supplier_regression(i):
         "is_test", pr.split_flag())
     tr, te = df.filter(~F.col("is_test")), df.filter(F.col("is_test"))
     sigma, n = mo._sigma_n(tr)
-    rows = []
-    for c in [x for x in mo.CANDIDATES if x.name in ("random_forest", "gradient_boosting", "linear_regression",
-                                                     "ridge", "xgboost")]:
-        m = mo.fit_candidate(tr, feats, c, sigma, n, None)
-        r = mo.regression_metrics(m.transform(te)).first()
-        rows.append((c.name, float(r.rmse), float(r.mae), float(r.r2)))
+    cands = [x for x in mo.CANDIDATES if x.name in ("random_forest", "gradient_boosting", "linear_regression",
+                                                    "ridge", "xgboost")]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=5) as pool:
+        res = list(pool.map(lambda c: mo._fit_one("supplier", (tr, te, feats, sigma, n), c, None), cands))
+    rows = [(r["model"], r.get("rmse"), r.get("mae"), r.get("r2")) for r in res]
     out = i.spark.createDataFrame(rows, "model string, rmse double, mae double, r2 double")
     best = out.select(F.max_by("model", F.struct("r2", F.col("model"))).alias("best")).scalar()
     return out.withColumn("is_best", F.col("model") == best)

@@ -22,6 +22,7 @@ _DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "8g",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
