@@ -35,4 +35,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from provisio.plans import q_cycle, q_explore, q_features, q_models, q_streams  # noqa: F401
+    from provisio.plans import q_cycle, q_explore, q_features, q_models, q_sinks, q_streams  # noqa: F401
