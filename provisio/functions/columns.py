@@ -70,16 +70,30 @@ def in_months(month, months) -> Column:
     return col(month).isin(list(months)).cast("int")
 
 
+def _units(x: Column, scale: int) -> Column:
+    """Per row: the value as an exact integer number of 10^-scale units (long arithmetic;
+    the value must have at most ``scale`` decimals, binary noise is rounded away)."""
+    return F.floor(x.cast("double") * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
+
+
+def exact_sum(c, scale: int = 2) -> Column:
+    """Aggregate: exact sum of a column with at most ``scale`` decimals, as a double.
+
+    Rows are summed as long integers (fast, order independent; an overflow
+    raises under ANSI mode instead of returning a wrong total)."""
+    return F.sum(_units(col(c), scale)).cast("double") / F.lit(float(10 ** scale))
+
+
 def mean_r4(c, scale: int = 4) -> Column:
     """Aggregate: mean rounded half-even to 4 decimals, computed exactly.
 
-    Values are scaled to integers (``scale`` decimals kept), summed exactly as
-    decimal(38,0) and divided with an integer half-even rule, so the result
-    does not depend on summation order or on binary representation (a mean
-    such as 54403.03625 sits exactly on a rounding tie).
+    Values are scaled to integers (``scale`` decimals kept) and summed as
+    longs; the per-group division uses an integer half-even rule in
+    decimal(38,0), so the result does not depend on summation order or on
+    binary representation (a mean such as 54403.03625 sits exactly on a tie).
     """
     x = col(c)
-    units = F.sum((x.cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("decimal(38,0)"))
+    units = F.sum(_units(x, scale)).cast("decimal(38,0)")
     n = F.count(x)
     m = units * F.lit(10000)
     d = (n * F.lit(10 ** scale)).cast("decimal(38,0)")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from provisio.functions.columns import mean_flag, mean_r4, r4, ratio, ratio0, weekday_mon0, in_months
+from provisio.functions.columns import exact_sum, mean_flag, mean_r4, r4, ratio, ratio0, weekday_mon0, in_months
 from provisio.params import DeliveryParams, PolicyParams
 
 # Season months.
@@ -79,10 +79,10 @@ def _demand_aggs():
         r4(F.min(qty)).alias("qty_min"),
         r4(F.max(qty)).alias("qty_max"),
         F.count(qty).alias("qty_count"),
-        r4(F.sum("sales")).alias("sales_sum"),
+        r4(exact_sum("sales", 2)).alias("sales_sum"),
         mean_r4("sales", 2).alias("sales_mean"),
         r4(F.stddev_samp(F.col("sales").cast("double"))).alias("sales_std"),
-        r4(F.sum("profit")).alias("profit_sum"),
+        r4(exact_sum("profit", 4)).alias("profit_sum"),
         mean_r4("profit", 4).alias("profit_mean"),
         F.count_distinct("order_id").alias("order_nunique"),
         mean_r4("is_holiday", 0).alias("holiday_mean"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from provisio.operators import features as fe
 from provisio.operators import cycle as cy
 from provisio.operators import ingest, policy
-from provisio.session import checkpoint_dir
+from provisio.session import materialize
 from provisio.sources import adapter
 
 
@@ -60,8 +60,7 @@ class Inputs:
         Exploration queries read it many times (scalar subqueries, unions);
         cutting the lineage keeps each of them from re-running the two
         fact-sized shuffles and keeps the plans small."""
-        checkpoint_dir(self.spark)
-        return self.policy.checkpoint(eager=True)
+        return materialize(self.policy, "procurement_policy")
 
     @cached_property
     def products(self) -> DataFrame:

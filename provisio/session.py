@@ -52,3 +52,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet into the shared checkpoint folder and read it back.
+
+    This cuts the lineage like ``checkpoint()`` but computes the plan only
+    once (an eager RDD checkpoint runs it twice), and the result is a
+    columnar table with size statistics that the planner can use."""
+    import uuid as _uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{_uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provisio.sources.tables import scan
+from provisio.sources.tables import scan, spread
 
 # Pricing tier by s_nationkey % 4.
 TIERS = ["Economy", "Standard", "Premium", "Basic"]
@@ -24,8 +24,8 @@ TIERS = ["Economy", "Standard", "Premium", "Basic"]
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines in the reference's raw layout: dates as year/month/day ints,
     discount as text."""
-    li = scan(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
-              "l_extendedprice", "l_discount", "l_shipdate")
+    li = spread(scan(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
+                     "l_extendedprice", "l_discount", "l_shipdate"))
     od = scan(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
     pt = scan(spark, sf_dir, "part", "p_partkey", "p_type", "p_retailprice")
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
@@ -58,7 +58,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly stock per product: returned quantity per ship month as stock."""
-    li = scan(spark, sf_dir, "lineitem", "l_partkey", "l_quantity", "l_tax", "l_returnflag", "l_shipdate")
+    li = spread(scan(spark, sf_dir, "lineitem", "l_partkey", "l_quantity", "l_tax", "l_returnflag", "l_shipdate"))
     pt = scan(spark, sf_dir, "part", "p_partkey", "p_retailprice")
     ym = (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int")
     per_month = (li.groupBy(F.col("l_partkey").alias("product_id"), ym.alias("year_month"))
