@@ -148,7 +148,7 @@ LEADERBOARD_SCHEMA = ("task string, model string, status string, rmse double, ma
 
 
 def model_leaderboard(spark: SparkSession, ml: DataFrame, tasks: Sequence[str] = tuple(TASKS),
-                      candidates: Sequence[Candidate] = CANDIDATES, parallelism: int = 8,
+                      candidates: Sequence[Candidate] = CANDIDATES, parallelism: int = 16,
                       select_k: int | None = 15) -> DataFrame:
     """Every candidate for every task; the fits are submitted concurrently
     (each fit is a set of distributed Spark jobs)."""

@@ -101,3 +101,11 @@ class Inputs:
     @cached_property
     def alerts(self) -> DataFrame:
         return cy.alerts(self.products, self.decisions)
+
+    @cached_property
+    def ml_table(self) -> DataFrame:
+        """Cleaned ML feature table, materialized once: every model fit runs many
+        small jobs over it, which then scan a small table instead of re-running
+        the encoding joins."""
+        from provisio.operators import prep
+        return materialize(prep.ml_features_raw(self.policy_table), "ml_features")
