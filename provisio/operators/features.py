@@ -279,3 +279,17 @@ def procurement_master(lines: DataFrame, inventory: DataFrame, fulfil: DataFrame
                         F.when(F.col("current_stock") == 0, "Stockout")
                          .when(F.col("current_stock") <= F.col("reorder_point"), "Reorder_Required")
                          .otherwise("Normal")))
+
+
+def rolling_trend(monthly: DataFrame, window_months: int = 6, seasonal_lag: int = 12,
+                  quarter_lag: int = 4) -> DataFrame:
+    """W7 (declared): 6-month moving average of monthly demand, and the quantity 12 and 4 present
+    months earlier with the growth against them (windows per product: bounded by the calendar)."""
+    w = Window.partitionBy("product_id").orderBy("year_month")
+    lag12, lag4 = F.lag("qty", seasonal_lag).over(w), F.lag("qty", quarter_lag).over(w)
+    return (monthly.select("product_id", "year_month", "qty")
+            .withColumn("rolling_mean", F.avg("qty").over(w.rowsBetween(-(window_months - 1), 0)))
+            .withColumn("qty_lag_12", lag12)
+            .withColumn("qty_lag_4", lag4)
+            .withColumn("growth_12", ratio(F.col("qty"), F.col("qty_lag_12")) - F.lit(1.0))
+            .withColumn("growth_4", ratio(F.col("qty"), F.col("qty_lag_4")) - F.lit(1.0)))

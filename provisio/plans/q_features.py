@@ -208,3 +208,18 @@ def procurement_policy(i):
 def bounded_reorder(i):
     """M13 (declared): 3-day buffer, order quantity within 1..1000."""
     return po.bounded_reorder(po.inventory_policy(i.features))
+
+
+@query("rolling_trend", with_ctes(
+    "SELECT product_id, year_month, qty, avg(qty) OVER (PARTITION BY product_id ORDER BY year_month "
+    "ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS rolling_mean, "
+    "lag(qty, 12) OVER (PARTITION BY product_id ORDER BY year_month) AS qty_lag_12, "
+    "lag(qty, 4) OVER (PARTITION BY product_id ORDER BY year_month) AS qty_lag_4, "
+    "CASE WHEN lag(qty, 12) OVER w = 0 THEN (CASE WHEN qty > 0 THEN CAST('inf' AS DOUBLE) END) "
+    "ELSE qty / lag(qty, 12) OVER w END - 1.0 AS growth_12, "
+    "CASE WHEN lag(qty, 4) OVER w = 0 THEN (CASE WHEN qty > 0 THEN CAST('inf' AS DOUBLE) END) "
+    "ELSE qty / lag(qty, 4) OVER w END - 1.0 AS growth_4 "
+    "FROM monthly WINDOW w AS (PARTITION BY product_id ORDER BY year_month)"))
+def rolling_trend(i):
+    """W7 (declared): 6-month moving average, 12- and 4-month lags."""
+    return fe.rolling_trend(fe.monthly_demand(i.lines))

@@ -471,3 +471,15 @@ def eval_summary(i):
     path = os.path.join(checkpoint_dir(i.spark), "eval_summary", uuid.uuid4().hex)
     r.write.mode("overwrite").option("header", True).csv(path)
     return i.spark.read.option("header", True).schema(r.schema).csv(path)
+
+
+@query("validate_outputs", _wm(
+    "SELECT 'procurement_features' AS \"table\", count(*) AS rows, " + str(len(__import__('provisio.plans.q_features', fromlist=['POLICY_ALL']).POLICY_ALL)) +
+    " AS columns, 0 AS missing_values, count(DISTINCT product_id) AS products, count(*) > 0 AS non_empty FROM policy "
+    "UNION ALL SELECT 'ml_features', count(*), " + str(1 + len(pr.ML_COLUMNS)) +
+    ", 0, count(DISTINCT product_id), count(*) > 0 FROM mlraw"))
+def validate_outputs(i):
+    """Q8: shapes, missing totals, distinct products and non-empty flags of the two feature tables."""
+    from provisio.operators import quality as dq
+    from provisio.plans.q_features import POLICY_ALL
+    return dq.validate_outputs(i.policy_table.select(*POLICY_ALL), i.ml_table)
