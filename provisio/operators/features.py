@@ -246,39 +246,52 @@ def procurement_features(lines: DataFrame, inventory: DataFrame, fulfil: DataFra
     return merged.na.fill(0)
 
 
-def procurement_master(lines: DataFrame, inventory: DataFrame, fulfil: DataFrame) -> DataFrame:
+def procurement_master(lines: DataFrame, inventory: DataFrame, fulfil: DataFrame,
+                       p: PolicyParams = PolicyParams()) -> DataFrame:
     """The exploratory notebook's variant of the product table.
 
-    Monthly demand = quantity sum / 12; NaN inputs are not filled before the
-    metrics; status has no Overstock class."""
+    Products come from the order lines (left joins); monthly demand = quantity
+    sum / 12; days of supply, reorder point and EOQ use it; NaN inputs are not
+    filled before the metrics; status has no Overstock class."""
+    from provisio.functions.columns import sqrt_nan
+    from provisio.functions.ranking import global_dense_rank
+    from provisio.session import materialize
+    qty = F.col("qty")
     m = lines.groupBy("product_id").agg(
-        F.sum("qty").alias("total_quantity"),
-        F.avg("qty").alias("avg_quantity"),
-        F.sum(F.col("sales")).cast("double").alias("total_sales"),
-        F.sum(F.col("profit")).cast("double").alias("total_profit"),
-        F.count_distinct("order_id").alias("order_count"),
-        F.avg("is_holiday").alias("holiday_share"),
-        F.avg("delay").alias("avg_delay"),
-        F.avg("on_time").alias("on_time_rate"))
-    inv = inventory.groupBy("product_id").agg(
-        F.avg("inventory").alias("avg_inventory"),
-        F.min("inventory").alias("min_inventory"),
-        F.max("inventory").alias("max_inventory"),
-        F.avg("unit_cost").alias("avg_unit_cost"),
-        mean_flag(F.col("inventory") == 0).alias("stockout_rate"),
-        F.max_by(F.col("inventory"), F.struct(F.col("year_month"), -F.col("inventory"))).alias("current_stock"))
-    j = m.join(inv, "product_id", "left").join(fulfil, "product_id", "left")
-    monthly = F.col("total_quantity") / F.lit(12.0)
-    daily = monthly / F.lit(30.0)
-    return (j.withColumn("monthly_demand", monthly)
-            .withColumn("days_supply", ratio("current_stock", daily))
-            .withColumn("reorder_point", daily * F.col("fulfillment_days"))
-            .withColumn("eoq", F.sqrt(ratio(F.lit(2.0) * monthly * F.lit(12.0) * F.lit(50.0),
-                                            F.col("avg_unit_cost") * F.lit(0.2))))
-            .withColumn("stock_status",
-                        F.when(F.col("current_stock") == 0, "Stockout")
-                         .when(F.col("current_stock") <= F.col("reorder_point"), "Reorder_Required")
-                         .otherwise("Normal")))
+        r4(F.sum(qty)).alias("qty_sum"), mean_r4(qty).alias("qty_mean"), r4(F.stddev_samp(qty)).alias("qty_std"),
+        r4(exact_sum("sales", 2)).alias("sales_sum"), mean_r4("sales", 2).alias("sales_mean"),
+        r4(exact_sum("profit", 4)).alias("profit_sum"), mean_r4("profit", 4).alias("profit_mean"),
+        F.count_distinct("order_id").alias("order_nunique"), mean_r4("is_holiday", 0).alias("holiday_mean"),
+        mean_r4("actual_days", 0).alias("ship_days_mean"), mean_r4("delay", 0).alias("delay_mean"),
+        mean_r4("on_time", 0).alias("on_time_mean"))
+    inv = inventory.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(
+        mean_flag(F.col("inventory") == 0).alias("stockout_frequency"),
+        F.max_by(F.struct(F.col("inventory").alias("i"), F.col("unit_cost").alias("c")),
+                 F.struct(F.col("year_month"), -F.col("inventory"), -F.col("unit_cost"))).alias("_cur"))
+    j = (m.join(inv, "product_id", "left").join(fulfil.withColumnRenamed("fulfillment_days", "avg_fulfillment_days"),
+                                                 "product_id", "left")
+         .withColumn("current_inventory", F.col("_cur.i")).withColumn("unit_cost", F.col("_cur.c")).drop("_cur"))
+    j = materialize(j, "procurement_master")
+    monthly = F.col("qty_sum") / F.lit(12.0)
+    daily = F.col("avg_monthly_demand") / F.lit(p.days_per_month)
+    out = (j.withColumn("avg_monthly_demand", monthly)
+           .withColumn("demand_variability", ratio("qty_std", "qty_mean"))
+           .withColumn("days_supply", F.coalesce(ratio(F.col("current_inventory"), daily), F.lit(0.0)))
+           .withColumn("safety_stock", F.coalesce(F.lit(p.z_service) * F.col("qty_std")
+                                                  * sqrt_nan(F.col("avg_fulfillment_days") / F.lit(p.days_per_month)),
+                                                  F.lit(0.0)))
+           .withColumn("reorder_point", F.coalesce(daily * F.col("avg_fulfillment_days") + F.col("safety_stock"),
+                                                   F.lit(0.0)))
+           .withColumn("eoq", F.coalesce(sqrt_nan(ratio(F.lit(2.0) * F.col("avg_monthly_demand") * F.lit(p.setup_cost),
+                                                        F.col("unit_cost") * F.lit(p.holding_rate))), F.lit(0.0))))
+    n = out.select(F.count(F.lit(1)).cast("double")).scalar()
+    out = global_dense_rank(out, "sales_sum", "_rr").withColumn("revenue_rank", F.col("_rr").cast("double")).drop("_rr")
+    rank = F.col("revenue_rank")
+    return (out.withColumn("abc_category", F.when(rank <= n * F.lit(p.class_a_share), "A")
+                           .when(rank <= n * F.lit(p.class_b_share), "B").otherwise("C"))
+            .withColumn("stock_status", F.when(F.col("current_inventory") == 0, "Stockout")
+                        .when(F.col("current_inventory") <= F.col("reorder_point"), "Reorder_Required")
+                        .otherwise("Normal")))
 
 
 def rolling_trend(monthly: DataFrame, window_months: int = 6, seasonal_lag: int = 12,

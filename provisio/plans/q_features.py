@@ -223,3 +223,38 @@ def bounded_reorder(i):
 def rolling_trend(i):
     """W7 (declared): 6-month moving average, 12- and 4-month lags."""
     return fe.rolling_trend(fe.monthly_demand(i.lines))
+
+
+MASTER_COLS = ["product_id", "qty_sum", "qty_mean", "qty_std", "sales_sum", "sales_mean", "profit_sum",
+               "profit_mean", "order_nunique", "holiday_mean", "ship_days_mean", "delay_mean", "on_time_mean",
+               "stockout_frequency", "avg_fulfillment_days", "current_inventory", "unit_cost",
+               "avg_monthly_demand", "demand_variability", "days_supply", "safety_stock", "reorder_point", "eoq",
+               "revenue_rank", "abc_category", "stock_status"]
+
+_R = ("CASE WHEN {d} = 0 THEN (CASE WHEN {n} > 0 THEN CAST('inf' AS DOUBLE) WHEN {n} < 0 THEN CAST('-inf' AS DOUBLE) "
+      "END) ELSE CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) END")
+
+
+@query("procurement_master", with_ctes(
+    "SELECT * EXCLUDE (n), CASE WHEN revenue_rank <= n * 0.2 THEN 'A' WHEN revenue_rank <= n * 0.5 THEN 'B' "
+    "ELSE 'C' END "
+    "AS abc_category, CASE WHEN current_inventory = 0 THEN 'Stockout' WHEN current_inventory <= reorder_point "
+    "THEN 'Reorder_Required' ELSE 'Normal' END AS stock_status FROM ("
+    "SELECT * EXCLUDE (n), n FROM (SELECT *, CAST(dense_rank() OVER (ORDER BY sales_sum DESC) AS DOUBLE) AS revenue_rank, "
+    "CAST(count(*) OVER () AS DOUBLE) AS n, "
+    "COALESCE(" + _R.format(n="current_inventory", d="avg_monthly_demand / 30.0") + ", 0.0) AS days_supply, "
+    "COALESCE(avg_monthly_demand / 30.0 * avg_fulfillment_days + safety_stock, 0.0) AS reorder_point, "
+    "COALESCE(CASE WHEN (" + _R.format(n="2.0 * avg_monthly_demand * 50.0", d="unit_cost * 0.2") + ") < 0 THEN NULL "
+    "ELSE sqrt(" + _R.format(n="2.0 * avg_monthly_demand * 50.0", d="unit_cost * 0.2") + ") END, 0.0) AS eoq "
+    "FROM (SELECT *, " + _R.format(n="qty_std", d="qty_mean") + " AS demand_variability, "
+    "COALESCE(1.65 * qty_std * CASE WHEN avg_fulfillment_days / 30.0 < 0 THEN NULL "
+    "ELSE sqrt(avg_fulfillment_days / 30.0) END, 0.0) AS safety_stock FROM ("
+    "SELECT d.product_id, d.qty_sum, d.qty_mean, d.qty_std, d.sales_sum, d.sales_mean, d.profit_sum, "
+    "d.profit_mean, d.order_nunique, d.holiday_mean, d.ship_days_mean, d.delay_mean, d.on_time_mean, "
+    "i.stockout_frequency, f.fulfillment_days AS avg_fulfillment_days, c.current_inventory, "
+    "c.current_unit_cost AS unit_cost, d.qty_sum / 12.0 AS avg_monthly_demand "
+    "FROM dagg d LEFT JOIN iagg i ON d.product_id = i.product_id LEFT JOIN cur c ON d.product_id = c.product_id "
+    "LEFT JOIN fulfil f ON d.product_id = f.product_id))) t) u"))
+def procurement_master(i):
+    """The notebook's product table (monthly demand = sum / 12)."""
+    return fe.procurement_master(i.lines, i.inventory, i.fulfillment).select(*MASTER_COLS)
