@@ -265,3 +265,36 @@ def supplier_classifier(data: DataFrame, features: Sequence[str]) -> DataFrame:
         acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(m.transform(te))
         rows.append((name, float(acc)))
     return data.sparkSession.createDataFrame(rows, "model string, accuracy double")
+
+
+def lasso_select(ml: DataFrame, target: str, alpha: float = ALPHA, max_features: int = 50) -> list[tuple[str, float]]:
+    """F11 (declared): features with a non-zero lasso coefficient (at most 50), largest first."""
+    df, cols = task_frame(ml, target)
+    model = _pipeline(cols, _linear(alpha, 1.0), None).fit(df)
+    coefs = model.stages[-1].coefficients.toArray()
+    kept = [(c, float(v)) for c, v in zip(cols, coefs) if v != 0.0]
+    return sorted(kept, key=lambda x: (-abs(x[1]), x[0]))[:max_features]
+
+
+def rfe_select(ml: DataFrame, target: str, keep: int = 15, trees: int = 50) -> list[str]:
+    """recursive elimination: fit a 50-tree forest, drop the least important feature, repeat."""
+    df, cols = task_frame(ml, target)
+    cols = list(cols)
+    while len(cols) > keep:
+        model = _pipeline(cols, RandomForestRegressor(numTrees=trees, seed=SEED), None).fit(df)
+        imp = model.stages[-1].featureImportances.toArray()
+        worst = min(range(len(cols)), key=lambda k: (imp[k], cols[k]))
+        cols.pop(worst)
+    return cols
+
+
+def train_matrix(ml: DataFrame, target: str) -> DataFrame:
+    """the second standardisation, fitted on the training split only and applied to both splits."""
+    from pyspark.ml.functions import vector_to_array
+    df, cols = task_frame(ml, target)
+    df = df.withColumn("is_test", split_flag())
+    va = VectorAssembler(inputCols=cols, outputCol="raw", handleInvalid="keep")
+    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)
+    fitted = scaler.fit(va.transform(df.filter(~F.col("is_test"))))
+    out = fitted.transform(va.transform(df))
+    return out.select("product_id", "is_test", "label", vector_to_array("scaled").alias("features"))

@@ -483,3 +483,30 @@ def validate_outputs(i):
     from provisio.operators import quality as dq
     from provisio.plans.q_features import POLICY_ALL
     return dq.validate_outputs(i.policy_table.select(*POLICY_ALL), i.ml_table)
+
+
+@query("select_all")
+def select_all(i):
+    """every feature column kept (the ML table as the model input)."""
+    df, cols = mo.task_frame(i.ml_table, "qty_mean")
+    return df
+
+
+@query("lasso_select")
+def lasso_select(i):
+    """F11 (declared): non-zero lasso coefficients, demand task."""
+    rows = mo.lasso_select(i.ml_table, "qty_mean")
+    return i.spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+@query("rfe_select")
+def rfe_select(i):
+    """recursive feature elimination down to 15 with a 50-tree forest, demand task."""
+    kept = mo.rfe_select(i.ml_table, "qty_mean")
+    return i.spark.createDataFrame([(c,) for c in kept], "feature string")
+
+
+@query("train_matrix")
+def train_matrix(i):
+    """scaler fitted on the training rows only, applied to train and test."""
+    return mo.train_matrix(i.ml_table, "stockout_frequency")
