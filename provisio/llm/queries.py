@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from provisio.llm.common import table
 
@@ -29,3 +30,147 @@ def op9_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from provisio.llm.packing import best_fit_packing
 
     return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    from provisio.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    from provisio.llm.language_id import language_id
+
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside a window of a benchmark item."""
+    from provisio.llm.decontaminate import report
+
+    found = report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.sort_array(F.transform("items", lambda x: x.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLE["op1_decontaminate"] = r"""
+WITH b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+bs AS (SELECT item_id, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0),
+bw AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS g
+  FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM bs)),
+d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+dw AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS g
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM d, (SELECT DISTINCT size FROM bw) WHERE len(w) >= size)),
+h AS (SELECT doc_id, i, dw.size, item_id FROM dw JOIN bw ON dw.g = bw.g AND dw.size = bw.size),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM h) GROUP BY 1),
+t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
+@query
+def op4_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, formatted as a prefix tree and read back."""
+    from provisio.llm.chat_tree import read_back, tree
+
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    columns = ("conv_id", "turn", "role", "text")
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    nodes, whole = tree(table(spark, sf_dir, "conversations", *columns).unionAll(extra), path)
+    return read_back(nodes, whole, path)
+
+
+ORACLE["op4_chat_tree"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, regexp_replace(replace(role, '\', '\\'), '(<)(\|turn\|>|\|text\|>|\|end\|>|s>|/s>|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|startoftext\|>|\|endoftext\|>)|(\[)(INST\]|/INST\])', '\1\3\\\2\4', 'g') AS er,
+         regexp_replace(replace(text, '\', '\\'), '(<)(\|turn\|>|\|text\|>|\|end\|>|s>|/s>|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|startoftext\|>|\|endoftext\|>)|(\[)(INST\]|/INST\])', '\1\3\\\2\4', 'g') AS et
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       CAST(sum(length(er) + length(et) + 23) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License templates that each document holds."""
+    from provisio.llm.licenses import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents")).select("doc_id", "license", "containment")
+
+
+def _license_sql() -> str:
+    from provisio.llm.licenses import TEMPLATES
+
+    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
+    return rf"""
+WITH t0(license, text) AS (VALUES {rows}),
+tw AS (SELECT license, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM t0),
+ts AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT license, w, unnest(range(1, len(w) - 3)) AS i FROM tw)),
+tn AS (SELECT license, count(*) AS m, greatest(2, CAST(pow(2, ceil(log2(count(*)))) AS BIGINT)) AS c FROM ts GROUP BY 1),
+d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+ds AS (SELECT doc_id, i - 1 AS p, array_to_string(w[i:i + 4], ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+h AS (SELECT doc_id, license, m, g, unnest([p // c, p // c - 1]) AS win FROM ds JOIN ts USING (g) JOIN tn USING (license)),
+n AS (SELECT doc_id, license, win, count(DISTINCT g) / max(m) AS share FROM h WHERE win >= 0 OR win = -1 GROUP BY 1, 2, 3)
+SELECT doc_id, license, max(share) AS containment FROM n WHERE win >= 0 AND share >= 0.75 GROUP BY 1, 2
+"""
+
+
+ORACLE["op10_license_scan"] = _license_sql()
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of windows that repeat."""
+    from provisio.llm.substrings import dedup
+
+    return dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op5_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+again AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM win WHERE g IN (SELECT g FROM again)),
+word AS (SELECT r, p, w[p] AS x FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY p) AS t FROM word WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.r = word.r AND gone.p = word.p)
+  GROUP BY r),
+n AS (SELECT r, count(*) AS n_removed FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN kept ON d.r = kept.r
+"""
