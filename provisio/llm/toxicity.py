@@ -1,16 +1,18 @@
 """Toxicity (operator 2): a character n-gram linear classifier whose features are scaled
 by naive Bayes log-count ratios.
 
-Features are the byte n-grams of 3 to 6 bytes of the whole text (A-Z lower-cased, white
-space as blanks), hashed; a feature counts once per document.  ``train`` counts them per
-class, takes each feature's log-count ratio r, keeps those whose share differs
-significantly between the classes, and fits a logistic regression on the features times
-r.  The sample it learns from is bounded by ``max_rows`` per class (taken in the order
-of a hash of the id, so it does not follow the id or the source).  ``score`` applies
+Features are the byte n-grams of 4 to 7 bytes of the whole text (A-Z lower-cased, white
+space as blanks), hashed.  A feature's value is the logarithm of one plus its
+occurrences per thousand bytes (smoothed for short texts), so a long clean text does not gather
+score by its length.  ``train`` takes each feature's naive Bayes log-count ratio r, keeps the
+features whose values differ significantly between the classes, and fits a logistic
+regression on the values times r.  The sample it learns from is bounded by
+``max_rows`` per class (taken in the order of a hash of the id, so it does not follow
+the id or the source) and weighted back to the classes' shares.  ``score`` applies
 the weights to every whole text.
 
 A null or empty text has no features and gets the score of the intercept.  Without labels
-of both classes the score is the share of toxic labels (0 without any).  A document
+of both classes the score is 1 if there are toxic labels alone, else 0.  A document
 labelled more than once is toxic if any label says so.  Repeated rows are each scored,
 a null id is kept (never held out), an empty table gives no rows; other columns are
 ignored.
@@ -25,11 +27,14 @@ from pyspark.sql import functions as F
 
 from provisio.llm.common import slices, texts
 
-SIZES = (3, 4, 5, 6)
+SIZES = (4, 5, 6, 7)
 BITS = 22
 MAX_ROWS = 3000
-MAX_FEATURES = 20_000
+SHARD_BITS = 5
+SHARDS = 1 << SHARD_BITS
+MAX_FEATURES = 4096
 FOLDS = 5
+PER, SMOOTH = 1000.0, 500.0   # a value's unit, and what short texts are lengthened by
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if c in (9, 10, 11, 12, 13) else c for c in range(256))
 
@@ -54,67 +59,119 @@ def hashed(text: str | None) -> list[np.ndarray]:
     return out
 
 
-def features(text: str | None) -> np.ndarray:
+def values(counts: np.ndarray, positions: int) -> np.ndarray:
+    return np.log1p(PER * counts / (positions + SMOOTH))
+
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """(distinct features, their counts, positions) of a text."""
     got = hashed(text)
-    return np.unique(np.concatenate(got)) if got else np.zeros(0, np.int64)
-
-
-def fit(rows: list[np.ndarray], label: np.ndarray, max_features: int = MAX_FEATURES,
-        steps: int = 150, l2: float = 1.0) -> tuple[np.ndarray, np.ndarray, float]:
-    """(features, their weights, intercept).  ``rows``: each document's distinct features."""
-    n1, n0 = int(label.sum()), int((1 - label).sum())
-    none = np.zeros(0, np.int64), np.zeros(0)
-    if not n1 or not n0:
-        return (*none, 30.0 if n1 else -30.0)
-    counts = [np.bincount(np.concatenate([r for r, y in zip(rows, label, strict=True) if y == c] or [none[0]]),
-                          minlength=1 << BITS) for c in (0, 1)]
-    s0, s1 = (counts[0] + 1) / (n0 + 2), (counts[1] + 1) / (n1 + 2)
-    ratio = np.log(s1 / s1.sum()) - np.log(s0 / s0.sum())
-    both = (counts[0] + counts[1] + 1) / (n0 + n1 + 2)
-    z = np.abs(s1 - s0) / np.sqrt(both * (1 - both) * (1 / n0 + 1 / n1))
-    keep = np.argsort(-z, kind="stable")[:max_features]
-    keep = np.sort(keep[z[keep] > 5])
-    column = np.full(1 << BITS, -1, np.int32)
-    column[keep] = np.arange(len(keep))
-    cols = [c[c >= 0] for c in (column[r] for r in rows)]
-    at = np.repeat(np.arange(len(rows)), [len(c) for c in cols])
-    flat = np.concatenate(cols) if cols else none[0]
-    x = ratio[keep][flat]
-    w, v, bias, vb = np.zeros(len(keep)), np.zeros(len(keep)), float(np.log(n1 / n0)), 0.0
-    # Step size from the curvature's bound: a quarter of the largest squared row norm, smoothed.
-    norm = np.bincount(at, weights=x * x, minlength=len(rows))
-    rate = 1.0 / (0.25 * norm.mean() + 1.0)
-    for _ in range(steps):
-        margin = np.bincount(at, weights=x * w[flat], minlength=len(rows)) + bias
-        g = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label) / len(rows)
-        gw = np.bincount(flat, weights=x * g[at], minlength=len(keep)) + l2 * w / len(rows)
-        v, vb = 0.9 * v - rate * gw, 0.9 * vb - rate * g.sum()
+    if not got:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    return *np.unique(np.concatenate(got), return_counts=True), len(got[0])
+
+
+def select(label: np.ndarray, flat: np.ndarray, count: np.ndarray, x: np.ndarray, n0: int, n1: int,
+           most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features whose values differ significantly between the classes, and the scale of each:
+    its log-count ratio over its spread.  Arrays: one entry per document and feature."""
+    kinds, flat = np.unique(flat, return_inverse=True)
+    size, y = len(kinds), label == 1
+    sums = [np.bincount(flat[s], weights=count[s], minlength=size) for s in (~y, y)]
+    rate = [(c + 1.0) / (n + 2.0) for c, n in zip(sums, (n0, n1))]
+    ratio = np.log(rate[1]) - np.log(rate[0])
+    mean = [np.bincount(flat[s], weights=x[s], minlength=size) / n for s, n in ((~y, n0), (y, n1))]
+    square = np.bincount(flat, weights=x * x, minlength=size) / (n0 + n1)
+    spread = np.maximum(square - ((n0 * mean[0] + n1 * mean[1]) / (n0 + n1)) ** 2, 1e-6)
+    z = np.abs(mean[1] - mean[0]) / np.sqrt(spread * (1 / n0 + 1 / n1))
+    keep = np.argsort(-z, kind="stable")[:most]
+    keep = keep[z[keep] > 6]
+    return kinds[keep], ratio[keep] / np.sqrt(spread[keep])
+
+
+def fit(label: np.ndarray, at: np.ndarray, flat: np.ndarray, x: np.ndarray, share: float, size: int,
+        steps: int = 400, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Logistic regression (accelerated gradient steps): weights and intercept.
+
+    Entry k says that document ``at[k]`` has value ``x[k]`` of feature ``flat[k]``; the classes are
+    weighted to ``share`` of label 1."""
+    n1 = label.sum()
+    weight = np.where(label == 1, share / n1, (1 - share) / (len(label) - n1))
+    w, v, bias, vb = np.zeros(size), np.zeros(size), float(np.log(share / (1 - share))), 0.0
+    norm = np.bincount(at, weights=x * x, minlength=len(label))
+    rate = 1.0 / (0.25 * (weight * norm).sum() + 0.25)
+    for k in range(steps):
+        margin = np.bincount(at, weights=x * w[flat], minlength=len(label)) + bias
+        g = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label)
+        gw = np.bincount(flat, weights=x * g[at], minlength=size) + l2 * w
+        on = k / (k + 3)
+        v, vb = on * v - rate * gw, on * vb - rate * g.sum()
         w, bias = w + v, bias + vb
-    return keep, w * ratio[keep], bias
+    return w, bias
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id",
-          text_col: str = "text", label_col: str = "toxic"):
-    """Learn from labelled documents outside fold 0: at most ``max_rows`` of each class."""
+          text_col: str = "text", label_col: str = "toxic", max_features: int = MAX_FEATURES):
+    """(features, weights, intercept), learnt from labelled documents outside fold 0: at most
+    ``max_rows`` of each class.  The driver gets the selected features' entries alone."""
     marks = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
              .where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
              .where(fold() != 0))
     there = texts(docs, id_col, text_col).select("doc_id").where("doc_id is not null").distinct()
     marks = marks.join(there, "doc_id", "left_semi")
+    total = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n0, n1 = (min(max_rows, total.get(c, 0)) for c in (0, 1))
+    if not n0 or not n1:
+        return np.zeros(0, np.int64), np.zeros(0), 30.0 if n1 else -30.0
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = (marks.where("y = 1").orderBy(*order).limit(max_rows)
               .unionAll(marks.where("y = 0").orderBy(*order).limit(max_rows)))
     picked = (texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")  # at most 2 x max_rows rows of two numbers
-              .dropDuplicates(["doc_id"]).select("y", "text"))
+              .dropDuplicates(["doc_id"]).select("doc_id", "text", "y"))
+    packed = "doc_id long, y int, positions long, shard int, grams binary, counts binary"
 
     def gather(batches):
-        for y, text in slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(y, pa.int32()), pa.array([features(t).astype("<i4").tobytes() for t in text], pa.binary())],
-                names=["y", "grams"])
-
-    got = picked.mapInArrow(gather, "y int, grams binary").collect()
-    return fit([np.frombuffer(r["grams"], "<i4").astype(np.int64) for r in got], np.array([r["y"] for r in got], dtype=float))
+        """A document's features, by range of their hashes."""
+        for batch in batches:
+            label = batch.column(2).to_pylist()
+            at = 0
+            for ids, text in slices([batch], 500_000):
+                out = []
+                for doc, t in zip(ids, text, strict=True):
+                    f, c, n = features(t)
+                    cut = np.searchsorted(f, np.arange(SHARDS + 1) << (BITS - SHARD_BITS))
+                    out.extend((doc, label[at], n, k, f[i:j].astype("<i4").tobytes(), np.minimum(c[i:j], 65535).astype("<u2").tobytes())
+                               for k, (i, j) in enumerate(zip(cut, cut[1:])) if j > i)
+                    at += 1
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)],
+                                                 names=["doc_id", "y", "positions", "shard", "grams", "counts"])
+
+    def choose(part: pa.Table) -> pa.Table:
+        """One range of features over the whole sample: the selected ones' entries."""
+        grams = [np.frombuffer(g, "<i4") for g in part.column("grams").to_pylist()]
+        count = np.concatenate([np.frombuffer(c, "<u2") for c in part.column("counts").to_pylist()]).astype(np.float64)
+        own = np.repeat(np.arange(part.num_rows), [len(g) for g in grams])
+        flat = np.concatenate(grams)
+        x = values(count, part.column("positions").to_numpy()[own])
+        keep, scale = select(part.column("y").to_numpy()[own], flat, count, x, n0, n1, max(1, max_features // SHARDS))
+        rank = np.argsort(keep)
+        where = np.minimum(np.searchsorted(keep[rank], flat), max(0, len(keep) - 1))
+        on = np.flatnonzero(keep[rank][where] == flat) if len(keep) else np.zeros(0, np.int64)
+        return pa.table({"doc_id": part.column("doc_id").to_numpy()[own[on]], "y": part.column("y").to_numpy()[own[on]],
+                         "gram": flat[on], "scale": scale[rank][where[on]] if len(keep) else np.zeros(0), "x": x[on]})
+
+    got = (picked.mapInArrow(gather, packed).groupBy("shard")
+           .applyInArrow(choose, "doc_id long, y int, gram int, scale double, x double").toPandas())
+    keep, flat = np.unique(got["gram"].to_numpy(dtype=np.int64), return_inverse=True)
+    ids, first, at = np.unique(got["doc_id"].to_numpy(), return_index=True, return_inverse=True)
+    scale = np.zeros(len(keep))
+    scale[flat] = got["scale"].to_numpy()
+    label = got["y"].to_numpy()[first]
+    without = [n - int((label == c).sum()) for c, n in ((0, n0), (1, n1))]   # sampled documents that have none of them
+    label = np.concatenate([label, np.repeat([0, 1], without)]).astype(float)
+    w, bias = fit(label, at, flat, got["x"].to_numpy() * scale[flat], total[1] / (total[0] + total[1]), len(keep))
+    return keep, w * scale, bias
 
 
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -131,8 +188,10 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
         for ids, text in slices(batches):
             out = np.empty(len(ids))
             for i, t in enumerate(text):
-                got = [h[known[h]] for h in hashed(t)]
-                out[i] = bias + (table[np.unique(np.concatenate(got))].sum() if got else 0.0)
+                got = hashed(t)
+                own = [h[known[h]] for h in got]
+                f, c = np.unique(np.concatenate(own), return_counts=True) if own else (keep[:0], keep[:0])
+                out[i] = bias + (table[f] * values(c, len(got[0]) if got else 0)).sum()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(out, -500, 500))))], names=["doc_id", "score"])
 
