@@ -207,3 +207,12 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from provisio.llm.embeddings import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that are near copies of an earlier line."""
+    from provisio.llm.lines import dedup_lines
+
+    found = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"), counts=True)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
