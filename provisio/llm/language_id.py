@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from provisio.llm.common import slices, texts
 
@@ -184,30 +185,43 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", tex
     return ByteCnn(langs).fit(np.array(x), np.array(y))
 
 
-def predict(docs: DataFrame, model: ByteCnn | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row."""
+def scored(model: ByteCnn, tables, text: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    lang, score = [UNDETERMINED] * len(text), np.zeros(len(text))
+    own = [i for i, t in enumerate(text) if model and t and _LETTER.search(t)]
+    if own:
+        cut = [windows(encoded(text[i])) for i in own]
+        p = model.probabilities(np.concatenate([c[0] for c in cut]), tables).astype(np.float64)
+        size = np.concatenate([c[1] for c in cut])
+        starts = np.cumsum([0] + [len(c[1]) for c in cut[:-1]])
+        mean = np.add.reduceat(p * size[:, None], starts) / np.add.reduceat(size, starts)[:, None]
+        for i, m in zip(own, mean, strict=True):
+            lang[i], score[i] = model.langs[int(m.argmax())], min(1.0, float(m.max()))
+    return lang, score
+
+
+def predict(docs: DataFrame, model: ByteCnn | None, text_col: str = "text") -> DataFrame:
+    """The documents with lang_pred and score beside their own columns (which must not have these names)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         model = shared.value
         tables = model.tables() if model else None
-        for ids, text in slices(batches):
-            lang, score = [UNDETERMINED] * len(ids), np.zeros(len(ids))
-            own = [i for i, t in enumerate(text) if model and t and _LETTER.search(t)]
-            if own:
-                cut = [windows(encoded(text[i])) for i in own]
-                p = model.probabilities(np.concatenate([c[0] for c in cut]), tables).astype(np.float64)
-                size = np.concatenate([c[1] for c in cut])
-                starts = np.cumsum([0] + [len(c[1]) for c in cut[:-1]])
-                mean = np.add.reduceat(p * size[:, None], starts) / np.add.reduceat(size, starts)[:, None]
-                for i, m in zip(own, mean, strict=True):
-                    lang[i], score[i] = model.langs[int(m.argmax())], min(1.0, float(m.max()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lang, pa.string()), pa.array(score)],
-                                             names=["doc_id", "lang_pred", "score"])
-
-    return (texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
-            .select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "lang_pred", "score"))
+        for batch in batches:
+            place = batch.schema.get_field_index(text_col)
+            lang, score = [], []
+            for _, text in slices([pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), batch.column(place)], names=["i", "text"])]):
+                got = scored(model, tables, text)
+                lang += got[0]
+                score.append(got[1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(np.concatenate(score or [np.zeros(0)]))],
+                                             names=[*batch.schema.names, "lang_pred", "score"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def language_id(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    return predict(docs, train(docs, max_docs))
+    """doc_id, held_out, lang_pred, score for every row."""
+    found = predict(texts(docs), train(docs, max_docs))
+    return found.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
