@@ -70,33 +70,40 @@ def in_months(month, months) -> Column:
     return col(month).isin(list(months)).cast("int")
 
 
-def _units(x: Column, scale: int) -> Column:
-    """Per row: the value as an exact integer number of 10^-scale units (long arithmetic;
-    the value must have at most ``scale`` decimals, binary noise is rounded away)."""
-    return F.floor(x.cast("double") * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("long")
+_DECIMALS = 9
 
 
-def exact_sum(c, scale: int = 2) -> Column:
-    """Aggregate: exact sum of a column with at most ``scale`` decimals, as a double.
+def _exact_units(x: Column) -> Column:
+    """Aggregate: the exact sum in units of 10^-9, as decimal(38,0).
 
-    Rows are summed as long integers (fast, order independent; an overflow
-    raises under ANSI mode instead of returning a wrong total)."""
-    return F.sum(_units(col(c), scale)).cast("double") / F.lit(float(10 ** scale))
+    Each row is split into its whole part and its fraction in 10^-9 units (what lies below is binary
+    noise of a double), and both are summed as longs: fast, independent of the order, and far from
+    overflow (which would raise under ANSI mode, not wrap)."""
+    x = x.cast("double")
+    whole = F.floor(x)
+    unit = F.lit(float(10 ** _DECIMALS))
+    fraction = F.floor((x - whole) * unit + F.lit(0.5)).cast("long")
+    return (F.sum(whole.cast("long")).cast("decimal(38,0)") * F.lit(10 ** _DECIMALS).cast("decimal(10,0)")
+            + F.sum(fraction).cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
-def mean_r4(c, scale: int = 4) -> Column:
+def exact_sum(c) -> Column:
+    """Aggregate: exact sum of a column, as a double; rows are not rounded before they are added."""
+    return (_exact_units(col(c)).cast("decimal(38,9)") / F.lit(10 ** _DECIMALS).cast("decimal(10,0)")).cast("double")
+
+
+def mean_r4(c) -> Column:
     """Aggregate: mean rounded half-even to 4 decimals, computed exactly.
 
-    Values are scaled to integers (``scale`` decimals kept) and summed as
-    longs; the per-group division uses an integer half-even rule in
+    The exact sum (``_exact_units``) is divided once per group with an integer half-even rule in
     decimal(38,0), so the result does not depend on summation order or on
     binary representation (a mean such as 54403.03625 sits exactly on a tie).
     """
     x = col(c)
-    units = F.sum(_units(x, scale)).cast("decimal(38,0)")
+    units = _exact_units(x)
     n = F.count(x)
     m = units * F.lit(10000)
-    d = (n * F.lit(10 ** scale)).cast("decimal(38,0)")
+    d = n.cast("decimal(19,0)") * F.lit(10 ** _DECIMALS).cast("decimal(10,0)")
     a = F.abs(m)
     r = a % d
     q = ((a - r) / d).cast("long")

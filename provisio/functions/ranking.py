@@ -1,12 +1,13 @@
 """Global ranks without a single-partition window.
 
 ``dense_rank() over (order by x)`` with no ``partitionBy`` moves every row to
-one task.  Here the values are range-partitioned and sorted inside each
-partition; the per-partition counts (one row per partition, so their size is
-bounded by the partition count, not by the data) are turned into offsets and
-broadcast back.  The range exchange is shared by both branches of the plan
-(``ReusedExchange``), so positions and offsets come from the same shuffle
-output; a lost executor recomputes map outputs with the same range bounds.
+one task.  Here the rows are range-partitioned, sorted inside each
+partition, and written once with their partition and their place in it.  The
+per-partition counts (one row per partition, so their size is bounded by the partition
+count, not by the data) become offsets and are broadcast back.  Positions and
+offsets are both read from the same stored rows: a range exchange samples its
+bounds anew for each plan it is in, so counting in a second branch of one plan would give
+duplicate and missing ranks.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from provisio.session import materialize
+
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -28,14 +31,16 @@ def _positions(keys: DataFrame, order: Sequence[tuple[str, bool]], out: str) ->
     """1-based position of each row of ``keys`` in the total ``order``.
 
     ``order`` must make rows unique (add a key as the last tie-breaker).
+    Runs one job, which writes ``keys``.
     """
     cols = _sort_cols(order)
     n_parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_keys = keys.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols)
-    with_id = (sorted_keys
-               .withColumn("_mid", F.monotonically_increasing_id())
-               .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-               .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK))))
+    with_id = materialize(
+        sorted_keys
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
+        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK))), "ranked")
     counts = with_id.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by spark.sql.shuffle.partitions
     offsets = counts.withColumn(

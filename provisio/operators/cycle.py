@@ -182,11 +182,11 @@ def priority_ranking(scored: DataFrame) -> DataFrame:
     return r.withColumn("priority_level", priority_level("priority_pred"))
 
 
-def urgent_items(scored: DataFrame, k: int = 10) -> DataFrame:
-    """T5: Critical/High items, the first k by priority."""
-    return (scored.filter(F.col("priority_pred") > 60).select("product_id", "priority_pred")
-            .withColumn("priority_level", priority_level("priority_pred"))
-            .orderBy(F.col("priority_pred").desc(), "product_id").limit(k))
+def urgent_items(scored: DataFrame, k: int | None = 10) -> DataFrame:
+    """T5: Critical/High items, the first k by priority; all of them (in no order) if k is None."""
+    urgent = (scored.filter(F.col("priority_pred") > 60).select("product_id", "priority_pred")
+              .withColumn("priority_level", priority_level("priority_pred")))
+    return urgent if k is None else urgent.orderBy(F.col("priority_pred").desc(), "product_id").limit(k)
 
 
 def high_risk_scored(scored: DataFrame, p: CycleParams = CycleParams()) -> DataFrame:
@@ -240,19 +240,19 @@ def portfolio_risk(scored: DataFrame) -> DataFrame:
                         .when(F.col("average_stockout_risk") > 0.4, "Medium").otherwise("Low")))
 
 
-def critical_items(scored: DataFrame, k: int = 10) -> DataFrame:
-    """High demand (> 1.5 x mean prediction) AND high risk AND urgent."""
+def critical_items(scored: DataFrame, k: int | None = None) -> DataFrame:
+    """High demand (> 1.5 x mean prediction) AND high risk AND urgent
+    (``k``: only among the first k urgent items, as a list of ten would have it)."""
     mean_demand = scored.select(F.avg("demand_pred")).scalar()
     high_demand = scored.filter(F.col("demand_pred") > mean_demand * 1.5).select("product_id")
     high_risk = high_risk_scored(scored).select("product_id")
     urgent = urgent_items(scored, k).select("product_id")
-    # urgent is a top-k (k rows): broadcasting it is bounded
     return (high_demand.join(high_risk, "product_id", "left_semi")
-            .join(F.broadcast(urgent), "product_id", "left_semi")
+            .join(urgent, "product_id", "left_semi")
             .withColumn("action", F.lit("Immediate procurement required")))
 
 
-def action_plan(scored: DataFrame, k: int = 10) -> DataFrame:
+def action_plan(scored: DataFrame, k: int | None = None) -> DataFrame:
     """Five highest-risk products for emergency procurement, and the urgent count."""
     top5 = high_risk_scored(scored).limit(5)
     n_urgent = urgent_items(scored, k).select(F.count(F.lit(1))).scalar()
@@ -263,15 +263,16 @@ def action_plan(scored: DataFrame, k: int = 10) -> DataFrame:
 # ---------------------------------------------------------------- decisions and orders
 
 def procurement_decisions(products: DataFrame, scored: DataFrame, ranked_suppliers: DataFrame,
-                          p: CycleParams = CycleParams(), k: int = 10) -> DataFrame:
+                          p: CycleParams = CycleParams(), k: int | None = None) -> DataFrame:
     """Urgent items, then high-risk items not already urgent; quantity up to maximum
-    stock, best supplier (or the default), justification text.
+    stock, best supplier (or the default), justification text.  ``k`` limits the urgent items to the
+    first k; by default every Critical/High item is decided.
 
     Deviation (J9): the reference maps a prediction row to a product by its
     position (off by one); here the product key is joined."""
     urgent = urgent_items(scored, k).select("product_id", F.col("priority_pred").alias("ai_score"),
                                            F.lit("priority").alias("source"))
-    risky = (high_risk_scored(scored, p).join(F.broadcast(urgent.select("product_id")), "product_id", "left_anti")
+    risky = (high_risk_scored(scored, p).join(urgent.select("product_id"), "product_id", "left_anti")
              .select("product_id", F.col("risk_pred").alias("ai_score"), F.lit("risk").alias("source")))
     items = urgent.unionByName(risky)
     prod = products.select("product_id", "name", "current_stock", "min_stock_level", "max_stock_level",

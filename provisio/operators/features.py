@@ -79,14 +79,14 @@ def _demand_aggs():
         r4(F.min(qty)).alias("qty_min"),
         r4(F.max(qty)).alias("qty_max"),
         F.count(qty).alias("qty_count"),
-        r4(exact_sum("sales", 2)).alias("sales_sum"),
-        mean_r4("sales", 2).alias("sales_mean"),
+        r4(exact_sum("sales")).alias("sales_sum"),
+        mean_r4("sales").alias("sales_mean"),
         r4(F.stddev_samp(F.col("sales").cast("double"))).alias("sales_std"),
-        r4(exact_sum("profit", 4)).alias("profit_sum"),
-        mean_r4("profit", 4).alias("profit_mean"),
+        r4(exact_sum("profit")).alias("profit_sum"),
+        mean_r4("profit").alias("profit_mean"),
         F.count_distinct("order_id").alias("order_nunique"),
-        mean_r4("is_holiday", 0).alias("holiday_mean"),
-        mean_r4("is_weekend", 0).alias("weekend_mean"),
+        mean_r4("is_holiday").alias("holiday_mean"),
+        mean_r4("is_weekend").alias("weekend_mean"),
         F.mode("quarter", True).alias("quarter_mode"),
     ]
 
@@ -101,13 +101,13 @@ def _demand_ratios(df: DataFrame, p: PolicyParams = PolicyParams()) -> DataFrame
 
 def _delivery_aggs():
     return [
-        mean_r4("actual_days", 0).alias("ship_days_mean"),
+        mean_r4("actual_days").alias("ship_days_mean"),
         r4(F.stddev_samp("actual_days")).alias("ship_days_std"),
-        mean_r4("delay", 0).alias("delay_mean"),
+        mean_r4("delay").alias("delay_mean"),
         r4(F.stddev_samp("delay")).alias("delay_std"),
-        mean_r4("on_time", 0).alias("on_time_mean"),
-        mean_r4("early", 0).alias("early_mean"),
-        mean_r4("late", 0).alias("late_mean"),
+        mean_r4("on_time").alias("on_time_mean"),
+        mean_r4("early").alias("early_mean"),
+        mean_r4("late").alias("late_mean"),
     ]
 
 
@@ -172,7 +172,7 @@ def _inventory_aggs(p: PolicyParams = PolicyParams()):
         r4(F.min(inv)).alias("inv_min"),
         r4(F.max(inv)).alias("inv_max"),
         F.count(inv).alias("inv_count"),
-        mean_r4("unit_cost", 6).alias("cost_mean"),
+        mean_r4("unit_cost").alias("cost_mean"),
         r4(F.stddev_samp("unit_cost")).alias("cost_std"),
         F.min("year_month").alias("ym_min"),
         F.max("year_month").alias("ym_max"),
@@ -259,11 +259,11 @@ def procurement_master(lines: DataFrame, inventory: DataFrame, fulfil: DataFrame
     qty = F.col("qty")
     m = lines.groupBy("product_id").agg(
         r4(F.sum(qty)).alias("qty_sum"), mean_r4(qty).alias("qty_mean"), r4(F.stddev_samp(qty)).alias("qty_std"),
-        r4(exact_sum("sales", 2)).alias("sales_sum"), mean_r4("sales", 2).alias("sales_mean"),
-        r4(exact_sum("profit", 4)).alias("profit_sum"), mean_r4("profit", 4).alias("profit_mean"),
-        F.count_distinct("order_id").alias("order_nunique"), mean_r4("is_holiday", 0).alias("holiday_mean"),
-        mean_r4("actual_days", 0).alias("ship_days_mean"), mean_r4("delay", 0).alias("delay_mean"),
-        mean_r4("on_time", 0).alias("on_time_mean"))
+        r4(exact_sum("sales")).alias("sales_sum"), mean_r4("sales").alias("sales_mean"),
+        r4(exact_sum("profit")).alias("profit_sum"), mean_r4("profit").alias("profit_mean"),
+        F.count_distinct("order_id").alias("order_nunique"), mean_r4("is_holiday").alias("holiday_mean"),
+        mean_r4("actual_days").alias("ship_days_mean"), mean_r4("delay").alias("delay_mean"),
+        mean_r4("on_time").alias("on_time_mean"))
     inv = inventory.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(
         mean_flag(F.col("inventory") == 0).alias("stockout_frequency"),
         F.max_by(F.struct(F.col("inventory").alias("i"), F.col("unit_cost").alias("c")),

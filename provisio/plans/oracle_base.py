@@ -32,9 +32,9 @@ def sqrt_nan(x: str) -> str:
     return f"(CASE WHEN ({x}) < 0 THEN NULL ELSE sqrt({x}) END)"
 
 
-def mean_r4(x: str, scale: int = 4) -> str:
-    """Exact mean rounded half-even to 4 decimals (integer arithmetic)."""
-    units = f"sum(CAST(CAST({x} AS DECIMAL(18,{scale})) * {10 ** scale} AS HUGEINT))"
+def mean_r4(x: str, scale: int = 9) -> str:
+    """Exact mean rounded half-even to 4 decimals (integer arithmetic on nine decimals)."""
+    units = f"sum(CAST(CAST({x} AS DECIMAL(28,{scale})) * {10 ** scale} AS HUGEINT))"
     n = f"count({x})"
     m = f"({units} * 10000)"
     d = f"({n} * {10 ** scale})"
@@ -116,20 +116,20 @@ dagg AS (
     {r4('max(qty)')} AS qty_max,
     count(qty) AS qty_count,
     {r4('sum(sales)')} AS sales_sum,
-    {mean_r4('sales', 2)} AS sales_mean,
+    {mean_r4('sales')} AS sales_mean,
     {r4('stddev_samp(CAST(sales AS DOUBLE))')} AS sales_std,
     {r4('sum(profit)')} AS profit_sum,
-    {mean_r4('profit', 4)} AS profit_mean,
+    {mean_r4('profit')} AS profit_mean,
     count(DISTINCT order_id) AS order_nunique,
-    {mean_r4('is_holiday', 0)} AS holiday_mean,
-    {mean_r4('is_weekend', 0)} AS weekend_mean,
-    {mean_r4('actual_days', 0)} AS ship_days_mean,
+    {mean_r4('is_holiday')} AS holiday_mean,
+    {mean_r4('is_weekend')} AS weekend_mean,
+    {mean_r4('actual_days')} AS ship_days_mean,
     {r4('stddev_samp(actual_days)')} AS ship_days_std,
-    {mean_r4('delay', 0)} AS delay_mean,
+    {mean_r4('delay')} AS delay_mean,
     {r4('stddev_samp(delay)')} AS delay_std,
-    {mean_r4('on_time', 0)} AS on_time_mean,
-    {mean_r4('early', 0)} AS early_mean,
-    {mean_r4('late', 0)} AS late_mean
+    {mean_r4('on_time')} AS on_time_mean,
+    {mean_r4('early')} AS early_mean,
+    {mean_r4('late')} AS late_mean
   FROM lines GROUP BY product_id),
 monthly AS (
   SELECT product_id, year, month, sum(qty) AS qty, CAST(year * 100 + month AS INTEGER) AS year_month
@@ -177,7 +177,7 @@ iagg AS (
     {r4('min(inventory)')} AS inv_min,
     {r4('max(inventory)')} AS inv_max,
     count(inventory) AS inv_count,
-    {mean_r4('unit_cost', 6)} AS cost_mean,
+    {mean_r4('unit_cost')} AS cost_mean,
     {r4('stddev_samp(unit_cost)')} AS cost_std,
     min(year_month) AS ym_min, max(year_month) AS ym_max,
     avg(CASE WHEN inventory = 0 THEN 1.0 ELSE 0.0 END) AS stockout_frequency,

@@ -49,8 +49,7 @@ bsup AS (
     JOIN ranked r ON p.supplier_id = r.supplier_id) WHERE rn = 1),
 scored AS (SELECT product_id, qty_mean AS demand_pred, 0.9 * stockout_frequency + 0.05 AS risk_pred,
                   priority_score AS priority_pred FROM policy),
-urgent AS (SELECT product_id, priority_pred FROM scored WHERE priority_pred > 60
-           ORDER BY priority_pred DESC, product_id LIMIT 10),
+urgent AS (SELECT product_id, priority_pred FROM scored WHERE priority_pred > 60),
 risky AS (SELECT product_id, risk_pred FROM scored WHERE risk_pred > 0.7
           AND product_id NOT IN (SELECT product_id FROM urgent)),
 items AS (SELECT product_id, priority_pred AS ai_score, 'priority' AS source FROM urgent
@@ -248,7 +247,7 @@ def priority_ranking(i):
 
 @query("urgent_items", _wc(
     "SELECT product_id, priority_pred, CASE WHEN priority_pred > 80 THEN 'Critical' ELSE 'High' END "
-    "AS priority_level FROM urgent"))
+    "AS priority_level FROM urgent ORDER BY priority_pred DESC, product_id LIMIT 10"))
 def urgent_items(i):
     """T5."""
     return cy.urgent_items(i.scored)

@@ -47,7 +47,7 @@ def scan_ingested(i):
 def load_features(i):
     """IO4: load the feature table; when it is missing, derive it from the inputs."""
     p = _path(i, "features_missing")
-    if sinks._exists(i.spark, p):
+    if sinks.path_exists(i.spark, p):
         return sinks.read_table(i.spark, p)
     return i.features
 

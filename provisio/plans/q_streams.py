@@ -38,13 +38,13 @@ def _ntz(df):
 
 def _win(i, duration, slide=None, start=None):
     upd = st.updates(st.read_events(i.spark, i.sf_dir))
-    return _ntz(st.run_to_table(st.windowed_counts(upd, duration, slide, start), ["window_start", "window_end"],
+    return _ntz(st.run_to_table(st.windowed_counts(upd, duration, slide, start, st.event_span(i.spark, i.sf_dir)), ["window_start", "window_end"],
                                 name="window"))
 
 
 @query("stream_cycle_6h", _window_sql(6 * HOUR_US))
 def stream_cycle_6h(i):
-    """Every 6 hours (tumbling event-time window, watermark 1 hour)."""
+    """Every 6 hours (tumbling event-time window)."""
     return _win(i, "6 hours")
 
 
@@ -116,6 +116,6 @@ def stream_low_stock(i):
 
 @query("stream_dedup_late", UPD + "SELECT event_id, ts, product_id, stock, order_id, event_type, value FROM upd")
 def stream_dedup_late(i):
-    """Duplicate deliveries dropped within the watermark."""
-    upd = st.updates(st.read_events(i.spark, i.sf_dir))
-    return _ntz(st.run_to_table(st.dedup_late(upd), ["event_id"], "append", name="dedup"))
+    """Every event is delivered twice; the second delivery is dropped within the watermark."""
+    upd = st.updates(st.read_events(i.spark, i.sf_dir).unionAll(st.read_events(i.spark, i.sf_dir)))
+    return _ntz(st.run_to_table(st.dedup_late(upd, delay=st.event_span(i.spark, i.sf_dir)), [], "append", name="dedup"))

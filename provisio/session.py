@@ -42,11 +42,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, configuring a scratch one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a local session may do without the setting and gets a scratch folder; on any other master a folder
+    of one machine would be unreadable for the others, so that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="provisio-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():

@@ -36,7 +36,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     return r.load(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -49,7 +49,7 @@ def append_with_key(spark: SparkSession, df: DataFrame, path: str, key: str) ->
     The stored keys are read as one column and anti-joined (shuffle join on the
     key), and the incoming batch is de-duplicated on the key first."""
     incoming = df.dropDuplicates([key])
-    if _exists(spark, path):
+    if path_exists(spark, path):
         stored = spark.read.parquet(path).select(key)
         incoming = incoming.join(stored, key, "left_anti")
     incoming.write.mode("append").parquet(path)

@@ -23,16 +23,3 @@ def scan(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a fact table over all cores when it comes from fewer files than cores.
-
-    A single large file with one row group is read by one task, and every
-    join, projection and partial aggregate above the scan would run in that
-    one task.  Only then are rows redistributed (round robin); an input with
-    at least as many files as cores (any real lake table) is left as it is,
-    so no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df

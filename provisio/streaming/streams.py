@@ -1,5 +1,10 @@
 """Structured Streaming operators over inventory-update events.
 
+The delay of a watermark is a parameter: an operator keeps state for rows up to that much older than
+the newest it has seen and drops what is older.  A live source is given the lateness that it shows; a backfill reads
+files in no order of time, so ``event_span`` gives it the span of its events.  Rows that are
+dropped all the same are counted, and ``run_to_table`` fails rather than return a result without them.
+
 The reference polls on a schedule and receives webhooks; here the same work
 is event-time windows with watermarks, stream-static joins and streaming
 aggregations.  ``run_to_table`` drives a query with ``availableNow`` into an
@@ -18,15 +23,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provisio.session import checkpoint_dir
+from provisio.sources.sinks import path_exists
+from provisio.sources.tables import scan
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 WATERMARK = "1 hour"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File-stream source over the events table (new files in the folder are new batches)."""
-    return (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events*.parquet")
-            .option("maxFilesPerTrigger", 16).parquet(sf_dir))
+    """File-stream source over the events table, one file or a folder of part files (new files are new batches)."""
+    # a braced name is a pattern that matches exactly this name: the source takes a pattern where it takes no single file
+    return (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 16)
+            .parquet(os.path.join(sf_dir, "{events.parquet}")))
+
+
+def event_span(spark: SparkSession, sf_dir: str) -> str:
+    """The watermark delay that a backfill of the whole table needs: the span of its event times."""
+    ts = F.col("ts").cast("timestamp")
+    found = scan(spark, sf_dir, "events", "ts").agg((F.unix_seconds(F.max(ts)) - F.unix_seconds(F.min(ts)) + 1).alias("s")).first()
+    return f"{found['s'] or 0} seconds"
 
 
 def updates(events: DataFrame) -> DataFrame:
@@ -50,10 +65,11 @@ def rejected(upd: DataFrame) -> DataFrame:
     return upd.filter(F.col("product_id").isNull())
 
 
-def windowed_counts(upd: DataFrame, duration: str, slide: str | None = None, start: str | None = None) -> DataFrame:
+def windowed_counts(upd: DataFrame, duration: str, slide: str | None = None, start: str | None = None,
+                    delay: str = WATERMARK) -> DataFrame:
     """Per event-time window: updates, products, zero-stock updates, total value."""
     w = F.window("ts", duration, slide or duration, start) if start else F.window("ts", duration, slide or duration)
-    v = valid(upd).withWatermark("ts", WATERMARK)
+    v = valid(upd).withWatermark("ts", delay)
     return (v.groupBy(w.alias("w"))
             .agg(F.count(F.lit(1)).alias("updates"),
                  F.count_if(F.col("stock") == 0).alias("zero_stock_updates"),
@@ -63,8 +79,9 @@ def windowed_counts(upd: DataFrame, duration: str, slide: str | None = None, sta
 
 
 def latest_stock(upd: DataFrame) -> DataFrame:
-    """Latest stock per product; a late row never overwrites a newer one (ordered by ts, event id)."""
-    return (valid(upd).withWatermark("ts", WATERMARK).groupBy("product_id")
+    """Latest stock per product; a late row never overwrites a newer one (ordered by ts, event id).
+    State is one row per product and no row is too late for it, so there is no watermark."""
+    return (valid(upd).groupBy("product_id")
             .agg(F.max_by(F.struct("stock", "ts", "event_id"), F.struct("ts", "event_id")).alias("l"))
             .select("product_id", F.col("l.stock").alias("stock"), F.col("l.ts").alias("updated_at"),
                     F.col("l.event_id").alias("event_id")))
@@ -89,16 +106,17 @@ def low_stock_alerts(upd: DataFrame, products: DataFrame, ratio: float = 0.2) ->
                     F.when(F.col("stock_ratio") < 0.1, "high").otherwise("medium").alias("severity")))
 
 
-def dedup_late(upd: DataFrame, keys: Sequence[str] = ("event_id",)) -> DataFrame:
+def dedup_late(upd: DataFrame, keys: Sequence[str] = ("event_id",), delay: str = WATERMARK) -> DataFrame:
     """Drop repeated deliveries of the same event within the watermark."""
-    return upd.withWatermark("ts", WATERMARK).dropDuplicatesWithinWatermark(list(keys))
+    return upd.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def run_to_table(df: DataFrame, keys: Sequence[str], mode: str = "update", name: str | None = None) -> DataFrame:
     """Run a streaming DataFrame to completion (availableNow) and return the final state per key.
 
     Each micro-batch appends its changed rows with the batch id to a parquet
-    table in the shared checkpoint folder; the last version of every key wins."""
+    table in the shared checkpoint folder; the last version of every key wins.  Without ``keys`` the rows are
+    returned as they were emitted.  Fails if the watermark dropped rows."""
     spark = df.sparkSession
     base = os.path.join(checkpoint_dir(spark), "streams", f"{name or 'q'}-{uuid.uuid4().hex}")
     out, ck = os.path.join(base, "out"), os.path.join(base, "checkpoint")
@@ -109,7 +127,10 @@ def run_to_table(df: DataFrame, keys: Sequence[str], mode: str = "update", name:
     q = (df.writeStream.outputMode(mode).option("checkpointLocation", ck).foreachBatch(sink)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    if not os.path.exists(out) and not out.startswith(("s3", "hdfs", "gs", "abfs")):
+    late = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    if late:
+        raise RuntimeError(f"{late} rows were later than the watermark allows; give a longer delay")
+    if not path_exists(spark, out):
         return spark.createDataFrame([], df.schema)
     res = spark.read.parquet(out)
     if not keys:
