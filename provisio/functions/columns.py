@@ -100,9 +100,13 @@ def mean_r4(c) -> Column:
     binary representation (a mean such as 54403.03625 sits exactly on a tie).
     """
     x = col(c)
-    units = _exact_units(x)
-    n = F.count(x)
-    m = units * F.lit(10000)
+    # The rule names its inputs several times; as fields of one struct they are computed once per group.
+    once = F.array(F.struct((_exact_units(x) * F.lit(10000)).alias("m"), F.count(x).alias("n")))
+    return F.element_at(F.transform(once, lambda s: _half_even(s["m"], s["n"])), 1)
+
+
+def _half_even(m: Column, n: Column) -> Column:
+    """``m`` / (``n`` x 10^9) rounded half-even to an integer, in units of 10^-4; NULL for ``n`` = 0."""
     d = n.cast("decimal(19,0)") * F.lit(10 ** _DECIMALS).cast("decimal(10,0)")
     a = F.abs(m)
     r = a % d

@@ -1,20 +1,20 @@
 """Exact quantiles (linear interpolation, as pandas ``quantile``) without one-task buffers.
 
 ``percentile()`` keeps every distinct value of a group in one aggregation
-buffer, and a group may hold a third of the data.  Here the values are given a
-global position by range partitioning on (group, value); group sizes and
-offsets are small tables (one row per group); only the two rows around each
-wanted position are kept, found by an equi-join on (group, position).
+buffer, and a group may hold a third of the data.  Here equal values are counted first, so a value that
+a third of all rows share is one row; the distinct (group, value) pairs are put in order by range
+partitioning, running counts give each pair the positions that it covers, and the pairs around each
+wanted position are found by a join on the group.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provisio.functions.ranking import global_row_number
+from provisio.functions.ranking import global_running_total
 
 
 def grouped_quantiles(df: DataFrame, groups: Sequence[str], value: str,
@@ -22,23 +22,22 @@ def grouped_quantiles(df: DataFrame, groups: Sequence[str], value: str,
     """Rows (groups..., q, value) with the exact linearly interpolated quantile."""
     groups = list(groups)
     vals = df.select(*groups, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    ranked = global_row_number(vals, [(g, False) for g in groups] + [("_x", False)], "_rn")
-    # one row per group: bounded by the number of groups
-    sizes = vals.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    order = [F.col(g).asc_nulls_last() for g in groups] if groups else [F.lit(1)]
-    sizes = sizes.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)))
+    pairs = vals.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = global_running_total(pairs, [(g, False) for g in groups] + [("_x", False)], "_c", "_upto")
+    # one row per group: what lies before it in the global order, and its rows
+    sizes = ranked.groupBy(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(groups)]).agg(
+        F.min(F.col("_upto") - F.col("_c")).alias("_off"), F.sum("_c").alias("_n"))
     wanted = (sizes.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
               .withColumn("_pos", (F.col("_n") - 1) * F.col("q"))
-              .withColumn("_lo", F.floor("_pos").cast("long"))
-              .withColumn("_hi", F.ceil("_pos").cast("long"))
-              .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    picks = (wanted.select(*groups, "q", "_off", "_frac", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), (F.col("_off") + F.col("_lo") + 1).alias("_rn")),
-        F.struct(F.lit("hi").alias("side"), (F.col("_off") + F.col("_hi") + 1).alias("_rn")))).alias("_p"))
-        .select(*groups, "q", "_frac", "_p.side", "_p._rn"))
-    got = ranked.select("_rn", "_x").join(picks, "_rn")
+              .withColumn("_frac", F.col("_pos") - F.floor("_pos")))
+    side = lambda name, at: F.struct(F.lit(name).alias("side"), (F.col("_off") + at.cast("long") + 1).alias("_rn"))
+    picks = (wanted.withColumn("_p", F.explode(F.array(side("lo", F.floor("_pos")), side("hi", F.ceil("_pos")))))
+             .select(*[f"_g{k}" for k in range(len(groups))], "q", "_frac", "_p.side", "_p._rn"))
+    inside = (F.col("_rn") > F.col("_upto") - F.col("_c")) & (F.col("_rn") <= F.col("_upto"))
+    for k, g in enumerate(groups):
+        inside = inside & F.col(g).eqNullSafe(F.col(f"_g{k}"))
+    # without groups, picks are two rows per quantile
+    got = ranked.join(picks if groups else F.broadcast(picks), inside)
     res = got.groupBy(*groups, "q").agg(
         F.max(F.when(F.col("side") == "lo", F.col("_x"))).alias("_a"),
         F.max(F.when(F.col("side") == "hi", F.col("_x"))).alias("_b"),

@@ -64,3 +64,18 @@ def global_dense_rank(df: DataFrame, value: str, out: str, descending: bool = Tr
 def global_row_number(df: DataFrame, order: Sequence[tuple[str, bool]], out: str) -> DataFrame:
     """Add ``out`` = 1..n in ``order``; ``order`` must end in a unique key."""
     return _positions(df, order, out)
+
+
+def global_running_total(df: DataFrame, order: Sequence[tuple[str, bool]], weight: str, out: str) -> DataFrame:
+    """Add ``out`` = the sum of ``weight`` up to and with each row in ``order`` (which must end in a unique key)."""
+    cols = _sort_cols(order)
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = materialize(df.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols)
+                         .withColumn("_pid", F.spark_partition_id()), "running")
+    sums = stored.groupBy("_pid").agg(F.sum(weight).alias("_s"))
+    # one row per partition: bounded by spark.sql.shuffle.partitions
+    offsets = sums.select("_pid", F.coalesce(F.sum("_s").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    own = F.sum(weight).over(Window.partitionBy("_pid").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0))
+    return (stored.withColumn("_own", own).join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_own") + F.col("_off")).drop("_own", "_off", "_pid"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from provisio.functions.columns import ratio
 from provisio.functions.quantiles import grouped_quantiles, quantile_scalar
 
 # The columns the reference studies.
@@ -51,7 +52,7 @@ def portfolio_kpis(policy: DataFrame) -> DataFrame:
             .select("total_products",
                     F.col("_rev").cast("double").alias("total_revenue"),
                     F.col("_prof").cast("double").alias("total_profit"),
-                    rnd(F.col("_prof").cast("double") / F.col("_rev").cast("double") * 100.0).alias("profit_margin_pct"),
+                    rnd(ratio(F.col("_prof").cast("double"), F.col("_rev").cast("double")) * 100.0).alias("profit_margin_pct"),
                     rnd("_prio").alias("avg_priority_score")))
 
 
@@ -126,7 +127,7 @@ def department_performance(lines: DataFrame, top: int = 10) -> DataFrame:
                 F.count_distinct("product_id").alias("products"))
            .select("department", "qty", F.col("_s").cast("double").alias("sales"),
                    F.col("_p").cast("double").alias("profit"), "products",
-                   rnd(F.col("_p").cast("double") / F.col("_s").cast("double") * 100.0, 2).alias("margin_pct")))
+                   rnd(ratio(F.col("_p").cast("double"), F.col("_s").cast("double")) * 100.0, 2).alias("margin_pct")))
     return agg.orderBy(F.col("sales").desc(), F.col("department")).limit(top)
 
 

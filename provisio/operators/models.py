@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from typing import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -74,8 +75,10 @@ def task_frame(ml: DataFrame, target: str, include_target: bool = False,
 def regression_metrics(pred: DataFrame, y: str = "label", y_hat: str = "prediction") -> DataFrame:
     """Rmse, mae, r2 as ONE aggregate over (y, y_hat)."""
     e = F.col(y) - F.col(y_hat)
-    return pred.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-                    (F.lit(1.0) - F.sum(e * e) / (F.count(y) * F.var_pop(y))).alias("r2"),
+    residual, total = F.sum(e * e), F.count(y) * F.var_pop(y)
+    # a constant target: 1 for a perfect prediction, else 0
+    r2 = F.when(total == 0, F.when(residual == 0, 1.0).otherwise(0.0)).otherwise(F.lit(1.0) - F.try_divide(residual, total))
+    return pred.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), r2.alias("r2"),
                     F.count(y).alias("rows"))
 
 
@@ -89,9 +92,17 @@ def evaluation_metrics(pred: DataFrame, y: str = "label", y_hat: str = "predicti
     return m.select("*", *[s.select(c).scalar().alias(c) for c in s.columns])
 
 
-def _pipeline(cols: list[str], estimator, select_k: int | None) -> Pipeline:
-    stages = [VectorAssembler(inputCols=cols, outputCol="raw", handleInvalid="keep"),
-              StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)]
+def _scaling(cols: list[str], n: int) -> list:
+    """Assemble and standardise with the population standard deviation of ``n`` training rows: Spark's scaler
+    divides by the sample's, so its output is multiplied by the ratio of the two."""
+    factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
+    return [VectorAssembler(inputCols=cols, outputCol="raw", handleInvalid="keep"),
+            StandardScaler(inputCol="raw", outputCol="sample_scaled", withMean=True, withStd=True),
+            ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(cols)), inputCol="sample_scaled", outputCol="scaled")]
+
+
+def _pipeline(cols: list[str], estimator, select_k: int | None, n: int) -> Pipeline:
+    stages = _scaling(cols, n)
     if select_k:
         stages.append(UnivariateFeatureSelector(featuresCol="scaled", outputCol="features", labelCol="label",
                                                 selectionMode="numTopFeatures")
@@ -112,7 +123,7 @@ def fit_candidate(train: DataFrame, cols: list[str], cand: Candidate, sigma: flo
     est = cand.build(sigma)
     if cand.name == "ridge":
         est.setRegParam(ALPHA * sigma / max(n, 1))
-    return _pipeline(cols, est, select_k if select_k and select_k < len(cols) else None).fit(train)
+    return _pipeline(cols, est, select_k if select_k and select_k < len(cols) else None, n).fit(train)
 
 
 def _task_data(ml: DataFrame, task: str):
@@ -128,10 +139,11 @@ def _fit_one(task: str, data, cand: Candidate, select_k: int | None) -> dict:
     train, test, cols, sigma, n = data
     try:
         model = fit_candidate(train, cols, cand, sigma, n, select_k)
-    except Exception as e:  # noqa: BLE001 - the reference skips failing models too
+        m = regression_metrics(model.transform(test)).first()
+    except Exception as e:  # noqa: BLE001 - a failing model is skipped, and its row says so
         return dict(task=task, model=cand.name, status=f"failed: {type(e).__name__}")
-    m = regression_metrics(model.transform(test)).first()
-    return dict(task=task, model=cand.name, status="ok", rmse=float(m.rmse), mae=float(m.mae),
+    return dict(task=task, model=cand.name, status="ok", rmse=float(m.rmse) if m.rmse is not None else None,
+                mae=float(m.mae) if m.mae is not None else None,
                 r2=float(m.r2) if m.r2 is not None else None, test_rows=int(m.rows),
                 train_rows=n, num_features=min(select_k or len(cols), len(cols)))
 
@@ -176,7 +188,7 @@ def tuned_models(ml: DataFrame, task: str, folds: int = 5, parallelism: int = 4)
     df, cols = task_frame(ml, target)
     train = df.filter(~split_flag())
     rf = RandomForestRegressor(seed=SEED)
-    pipe = _pipeline(cols, rf, None)
+    pipe = _pipeline(cols, rf, None, train.count())
     grid = (ParamGridBuilder().addGrid(rf.numTrees, [50, 100, 200]).addGrid(rf.maxDepth, [5, 10])
             .addGrid(rf.minInstancesPerNode, [1, 2]).addGrid(rf.subsamplingRate, [0.8, 1.0]).build())
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="mse"),
@@ -270,7 +282,7 @@ def supplier_classifier(data: DataFrame, features: Sequence[str]) -> DataFrame:
 def lasso_select(ml: DataFrame, target: str, alpha: float = ALPHA, max_features: int = 50) -> list[tuple[str, float]]:
     """F11 (declared): features with a non-zero lasso coefficient (at most 50), largest first."""
     df, cols = task_frame(ml, target)
-    model = _pipeline(cols, _linear(alpha, 1.0), None).fit(df)
+    model = _pipeline(cols, _linear(alpha, 1.0), None, df.count()).fit(df)
     coefs = model.stages[-1].coefficients.toArray()
     kept = [(c, float(v)) for c, v in zip(cols, coefs) if v != 0.0]
     return sorted(kept, key=lambda x: (-abs(x[1]), x[0]))[:max_features]
@@ -279,9 +291,9 @@ def lasso_select(ml: DataFrame, target: str, alpha: float = ALPHA, max_features:
 def rfe_select(ml: DataFrame, target: str, keep: int = 15, trees: int = 50) -> list[str]:
     """recursive elimination: fit a 50-tree forest, drop the least important feature, repeat."""
     df, cols = task_frame(ml, target)
-    cols = list(cols)
+    cols, n = list(cols), df.count()
     while len(cols) > keep:
-        model = _pipeline(cols, RandomForestRegressor(numTrees=trees, seed=SEED), None).fit(df)
+        model = _pipeline(cols, RandomForestRegressor(numTrees=trees, seed=SEED), None, n).fit(df)
         imp = model.stages[-1].featureImportances.toArray()
         worst = min(range(len(cols)), key=lambda k: (imp[k], cols[k]))
         cols.pop(worst)
@@ -293,8 +305,6 @@ def train_matrix(ml: DataFrame, target: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
     df, cols = task_frame(ml, target)
     df = df.withColumn("is_test", split_flag())
-    va = VectorAssembler(inputCols=cols, outputCol="raw", handleInvalid="keep")
-    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True)
-    fitted = scaler.fit(va.transform(df.filter(~F.col("is_test"))))
-    out = fitted.transform(va.transform(df))
+    train = df.filter(~F.col("is_test"))
+    out = Pipeline(stages=_scaling(cols, train.count())).fit(train).transform(df)
     return out.select("product_id", "is_test", "label", vector_to_array("scaled").alias("features"))

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provisio.functions.columns import finite0
 from provisio.functions.quantiles import grouped_quantiles
+from provisio.functions.ranking import global_row_number
 
 # Model inputs of the reference (19 numeric + 3 encoded).
 NUMERIC_FEATURES = ["qty_mean", "qty_std", "demand_variability", "revenue_per_unit", "profit_margin",
@@ -24,18 +25,16 @@ NUMERIC_FEATURES = ["qty_mean", "qty_std", "demand_variability", "revenue_per_un
 CATEGORICAL = ["abc_category", "stock_status", "recommended_action"]
 ENCODED = [f"{c}_encoded" for c in CATEGORICAL]
 ML_COLUMNS = NUMERIC_FEATURES + ENCODED
-SPLIT_MULTIPLIER = 2654435761   # Knuth multiplicative hash
 TEST_PERCENT = 20
 
 
 def label_encode(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """alphabetical integer codes (LabelEncoder); one small table of distinct values per column."""
+    """alphabetical integer codes (LabelEncoder), ranked and joined without a bound on the labels."""
     out = df
     for c in columns:
-        # distinct categories: bounded by the number of labels, not by the data
-        codes = (df.select(F.col(c).cast("string").alias("_v")).distinct()
-                 .withColumn(f"{c}_encoded", (F.dense_rank().over(Window.orderBy("_v")) - 1).cast("int")))
-        out = (out.join(F.broadcast(codes), F.col(c).cast("string").eqNullSafe(F.col("_v")), "left").drop("_v"))
+        values = df.select(F.col(c).cast("string").alias("_v")).distinct()
+        codes = global_row_number(values, [("_v", False)], "_code").select("_v", (F.col("_code") - 1).cast("int").alias(f"{c}_encoded"))
+        out = out.join(codes, F.col(c).cast("string").eqNullSafe(F.col("_v")), "left").drop("_v")
     return out
 
 
@@ -73,8 +72,9 @@ def ml_features(policy: DataFrame, digits: int | None = None) -> DataFrame:
 
 
 def split_flag(key: str = "product_id", test_percent: int = TEST_PERCENT) -> F.Column:
-    """deterministic 80/20 split by a multiplicative hash of the key (same rule in SQL)."""
-    return F.pmod(F.col(key) * F.lit(SPLIT_MULTIPLIER), F.lit(100)) < test_percent
+    """deterministic 80/20 split by the md5 digest of the key's text (any key type; same rule in SQL)."""
+    digest = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
+    return digest % 100 < test_percent
 
 
 def train_test_split(df: DataFrame, key: str = "product_id") -> DataFrame:
@@ -133,10 +133,13 @@ def robust_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out
 
 
-def one_hot(df: DataFrame, column: str) -> DataFrame:
+def one_hot(df: DataFrame, column: str, max_values: int = 1000) -> DataFrame:
     """F10 (declared): one indicator column per category value (values known from the schema of the
     categorical: they are read from a small distinct table)."""
-    values = sorted(r[0] for r in df.select(column).distinct().collect())  # bounded: label cardinality
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_values + 1).collect()
+    if len(found) > max_values:  # each would be a column
+        raise ValueError(f"{column} has over {max_values} values; encode it by its target mean instead")
+    values = sorted(r[0] for r in found)
     out = df
     for v in values:
         out = out.withColumn(f"{column}_{v}", (F.col(column) == v).cast("int"))
@@ -144,6 +147,6 @@ def one_hot(df: DataFrame, column: str) -> DataFrame:
 
 
 def target_encode(df: DataFrame, column: str, target: str) -> DataFrame:
-    """F10 (declared): mean target per category (one row per category, broadcast back)."""
+    """F10 (declared): mean target per category, joined back."""
     means = df.groupBy(column).agg(F.avg(target).alias(f"{column}_target_mean"))
-    return df.join(F.broadcast(means), column, "left")
+    return df.join(means, column, "left")

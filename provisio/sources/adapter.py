@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from provisio.functions.columns import ratio
 from provisio.sources.tables import scan
 
 # Pricing tier by s_nationkey % 4.
@@ -153,5 +154,5 @@ def supplier_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes per (product, supplier): the mean unit price that supplier charged on its order lines."""
     li = scan(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     return (li.groupBy(F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("supplier_id"))
-            .agg((F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double") / F.sum("l_quantity"))
+            .agg(ratio(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double"), F.sum("l_quantity"))
                  .alias("quote_price")))

@@ -48,7 +48,9 @@ def append_with_key(spark: SparkSession, df: DataFrame, path: str, key: str) ->
 
     The stored keys are read as one column and anti-joined (shuffle join on the
     key), and the incoming batch is de-duplicated on the key first."""
-    incoming = df.dropDuplicates([key])
+    # rows that share a key: the least one by its other columns, so that the choice does not depend on the order
+    rest = [c for c in df.columns if c != key]
+    incoming = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*").select(df.columns)
     if path_exists(spark, path):
         stored = spark.read.parquet(path).select(key)
         incoming = incoming.join(stored, key, "left_anti")
