@@ -6,8 +6,10 @@ tokenizer's vocabulary, and the ids of the escaped strings between them.  Contro
 backslash is doubled, and one is put behind the first character of a control string.
 ``unescaped`` undoes both.
 
-Conversations that begin with the same turns share those turns' nodes.  A node's key is a
-chain of digests from the first turn, its path the hashes along that chain; ordering all
+Conversations that begin with the same turns share those turns.  A turn's key is a chain of
+digests from the first turn; turns that the same conversations pass through one after the
+other are one node (a compressed prefix tree), so a long conversation that shares nothing is
+a single node.  A node's path is the hashes along its ancestors; ordering all
 nodes by path is the depth-first order of the whole forest, so a range partitioning and
 per-partition sums give every node its place in the emitted token stream, however many
 conversations share one first turn.  A node carries its ids once, its position ids start
@@ -18,7 +20,7 @@ output alone.
 Turns are ordered by turn, role and text (null turns first), so ties and repeated rows have a
 fixed order and are kept; null roles and texts are empty strings.  Rows with a null
 conv_id are one conversation.  Empty tables give no rows; other columns are ignored.
-Work and path length grow with the square of one conversation's turns.
+A node's path and ancestors are as long as the branchings above it.
 """
 
 from __future__ import annotations
@@ -79,19 +81,37 @@ def _ordered(conversations: DataFrame) -> DataFrame:
     return own.select("conv_id", "turns", F.slice(chain, 2, F.size("turns")).alias("keys"))
 
 
+def _segments(ordered: DataFrame) -> DataFrame:
+    """conv_id, turns, keys and ``nodes``: (from, to, node) of the runs of turns that the same conversations pass."""
+    passed = ordered.select("conv_id", F.posexplode("keys").alias("depth", "key"))
+    shared = passed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Shared turns are the first ones of a conversation, so their numbers follow each other from 0.
+    counts = passed.join(shared, "key").groupBy(F.col("conv_id").alias("id")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("depth", "n"))), lambda x: x["n"]).alias("counts"))
+    both = ordered.join(counts, ordered.conv_id.eqNullSafe(counts.id), "left").drop("id")
+    known = F.coalesce("counts", F.array().cast("array<bigint>"))
+    n = F.concat(known, F.array_repeat(F.lit(1).cast("bigint"), F.size("turns") - F.size(known)))
+    both = both.withColumn("n", n).withColumn("ends", F.filter(
+        F.sequence(F.lit(0), F.size("turns") - 1), lambda i: (i == F.size("turns") - 1) | (F.get("n", i) != F.get("n", i + 1))))
+    return both.select("conv_id", "turns", F.transform("ends", lambda e, k: F.struct(
+        F.when(k == 0, 0).otherwise(F.get("ends", k - 1) + 1).alias("from"), e.alias("to"), F.get("keys", e).alias("node"))).alias("nodes"))
+
+
 def tree(conversations: DataFrame, tokenizer_path: str) -> tuple[DataFrame, DataFrame]:
     """(nodes, conversations).
 
-    nodes: node, parent, depth, start, position, n_tokens, ids, loss_from, loss_to, ancestors
-    (array of start, length).  conversations: conv_id, n_turns, node (its last turn's)."""
+    nodes: node, parent, depth (its first turn), start, position, n_tokens, ids, loss and ancestors
+    (arrays of start, length; loss counts from the node's first token).
+    conversations: conv_id, n_turns, node (that of its last turn)."""
     ordered = stored(_ordered(conversations), "chat_turns")
-    whole = ordered.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.element_at("keys", -1).alias("node"))
-    each = ordered.select("keys", F.transform("keys", lambda k: F.xxhash64(k)).alias("hashes"),
-                          F.posexplode("turns").alias("depth", "t"))
+    cut = stored(_segments(ordered), "chat_segments")
+    whole = cut.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.element_at("nodes", -1)["node"].alias("node"))
+    above = F.transform("nodes", lambda x: x["node"])
+    each = cut.select("turns", above.alias("all"), F.posexplode("nodes").alias("k", "own"))
     nodes = each.select(
-        F.get("keys", F.col("depth")).alias("node"), F.get("keys", F.col("depth") - 1).alias("parent"), "depth",
-        F.slice("hashes", F.lit(1), F.col("depth") + 1).alias("path"), F.slice("keys", F.lit(1), F.col("depth")).alias("above"),
-        F.col("t.role").alias("role"), F.col("t.text").alias("text")).dropDuplicates(["node"])
+        F.col("own.node").alias("node"), F.get("all", F.col("k") - 1).alias("parent"), F.col("own.from").alias("depth"),
+        F.transform(F.slice("all", F.lit(1), F.col("k") + 1), lambda x: F.xxhash64(x)).alias("path"), F.slice("all", F.lit(1), F.col("k")).alias("above"),
+        F.slice("turns", F.col("own.from") + 1, F.col("own.to") - F.col("own.from") + 1).alias("turns")).dropDuplicates(["node"])
 
     def emit(batches):
         """Nodes in path order: their ids and the tokens before them in this task."""
@@ -101,33 +121,38 @@ def tree(conversations: DataFrame, tokenizer_path: str) -> tuple[DataFrame, Data
         task, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             out = []
-            for role, text in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
-                head = [first, *enc.encode_ordinary(escaped(role)), first + 1]
-                ids = [*head, *enc.encode_ordinary(escaped(text)), first + 2]
-                learnt = role == LEARNT_ROLE
-                out.append((task, before, len(ids), ids, len(head) if learnt else 0, len(ids) - 1 if learnt else 0))
+            for turns in batch.column(5).to_pylist():
+                ids, loss = [], []
+                for t in turns:
+                    ids += [first, *enc.encode_ordinary(escaped(t["role"])), first + 1]
+                    text = enc.encode_ordinary(escaped(t["text"]))
+                    if t["role"] == LEARNT_ROLE:
+                        loss.append({"start": len(ids), "length": len(text)})
+                    ids += [*text, first + 2]
+                out.append((task, before, len(ids), ids, loss))
                 before += len(ids)
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64())
+            spans = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), spans)
             cols = [pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 1, 2, 4)), *cols],
-                                             names=["node", "parent", "depth", "above", "task", "before", "n_tokens", "ids", "loss_from", "loss_to"])
+                                             names=["node", "parent", "depth", "above", "task", "before", "n_tokens", "ids", "loss"])
 
     parts = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     emitted = stored(nodes.repartitionByRange(parts, "path").sortWithinPartitions("path").mapInArrow(
         emit, "node string, parent string, depth int, above array<string>, task int, before long, n_tokens long, "
-              "ids array<int>, loss_from long, loss_to long"), "chat_nodes")
+              "ids array<int>, loss array<struct<start:bigint,length:bigint>>"), "chat_nodes")
     sums = emitted.groupBy("task").agg(F.sum("n_tokens").alias("n"))  # one row per partition of the range exchange
     first = sums.select("task", F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)),
                                            F.lit(0)).alias("first"))
     placed = emitted.join(F.broadcast(first), "task").withColumn("start", F.col("first") + F.col("before")).drop("task", "first", "before")
     spans = placed.select(F.col("node").alias("up"), F.col("start").alias("up_start"), F.col("n_tokens").alias("up_n"))
-    above = (placed.select("node", F.explode("above").alias("up")).join(spans, "up")
-             .groupBy("node").agg(F.sum("up_n").alias("position"),
-                                  F.sort_array(F.collect_list(F.struct(F.col("up_start").alias("start"), F.col("up_n").alias("length")))).alias("ancestors")))
-    out = placed.drop("above").join(above, "node", "left")
+    ancestors = (placed.select("node", F.explode("above").alias("up")).join(spans, "up")
+                 .groupBy("node").agg(F.sum("up_n").alias("position"), F.sort_array(F.collect_list(
+                     F.struct(F.col("up_start").alias("start"), F.col("up_n").alias("length")))).alias("ancestors")))
+    out = placed.drop("above").join(ancestors, "node", "left")
     none = F.array().cast("array<struct<start:bigint,length:bigint>>")
     return out.select("node", "parent", "depth", "start", F.coalesce("position", F.lit(0)).alias("position"), "n_tokens", "ids",
-                      "loss_from", "loss_to", F.coalesce("ancestors", none).alias("ancestors")), whole
+                      "loss", F.coalesce("ancestors", none).alias("ancestors")), whole
 
 
 def read_back(nodes: DataFrame, conversations: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -135,9 +160,9 @@ def read_back(nodes: DataFrame, conversations: DataFrame, tokenizer_path: str) -
     loss_sha256, formatted_chars.  Equal conversations are rebuilt once."""
     last = conversations.select("node").distinct().join(nodes, "node")
     spans = last.select("node", F.posexplode(F.concat("ancestors", F.array(F.struct("start", F.col("n_tokens").alias("length"))))).alias("k", "span"))
-    pieces = nodes.select("start", "ids", "loss_from", "loss_to")
+    pieces = nodes.select("start", "ids", "loss")
     whole = (spans.select("node", "k", F.col("span.start").alias("start")).join(pieces, "start")
-             .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "ids", "loss_from", "loss_to"))).alias("parts")))
+             .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "ids", "loss"))).alias("parts")))
 
     def digest(batches):
         enc, first = codec(tokenizer_path)
@@ -147,12 +172,13 @@ def read_back(nodes: DataFrame, conversations: DataFrame, tokenizer_path: str) -
                 turns, loss, loss_chars, chars = hashlib.sha256(), hashlib.sha256(), 0, 0
                 for p in parts:
                     ids = np.array(p["ids"], dtype=np.int64)
-                    split, end = int(np.flatnonzero(ids == first + 1)[0]), int(np.flatnonzero(ids == first + 2)[0])
-                    role, text = (enc.decode_bytes(ids[a:b].tolist()).decode("utf-8") for a, b in ((1, split), (split + 1, end)))
-                    chars += len(TURN) + len(role) + len(TEXT) + len(text) + len(END)
-                    turns.update(f"{unescaped(role)}\n{unescaped(text)}\n".encode())
-                    if p["loss_to"] > p["loss_from"]:
-                        learnt = unescaped(enc.decode_bytes(ids[p["loss_from"]:p["loss_to"]].tolist()).decode("utf-8"))
+                    begins, splits, ends = (np.flatnonzero(ids == first + k).tolist() for k in range(3))
+                    for begin, split, end in zip(begins, splits, ends, strict=True):
+                        role, text = (enc.decode_bytes(ids[a:b].tolist()).decode("utf-8") for a, b in ((begin + 1, split), (split + 1, end)))
+                        chars += len(TURN) + len(role) + len(TEXT) + len(text) + len(END)
+                        turns.update(f"{unescaped(role)}\n{unescaped(text)}\n".encode())
+                    for span in p["loss"]:
+                        learnt = unescaped(enc.decode_bytes(ids[span["start"]:span["start"] + span["length"]].tolist()).decode("utf-8"))
                         loss.update(learnt.encode())
                         loss_chars += len(learnt)
                 out.append((node, turns.hexdigest(), loss_chars, loss.hexdigest(), chars))
