@@ -94,16 +94,16 @@ def reliability_class(df: DataFrame, col: str = "delivery_reliability") -> DataF
                           .when((x > 0.9) & (x <= 1.0), "Good"))
 
 
-def supplier_dataset(lines: DataFrame) -> DataFrame:
-    """P17 and the supplier notebook's table: per (supplier, product) delivery aggregates,
+# The inputs of the reference's supplier models.
+SUPPLIER_FEATURES = ["qty_mean", "qty_std", "sales_sum", "current_inventory", "stockout_frequency", "demand_variability",
+                     "fulfillment_days", "priority_score"]
+
+
+def supplier_dataset(products: DataFrame) -> DataFrame:
+    """The supplier models' table at product grain: eight features, the reliability and its class;
     rows with any missing value dropped."""
-    agg = lines.groupBy("supplier_id", "product_id").agg(
-        F.avg("actual_days").alias("ship_days_mean"), F.stddev_samp("actual_days").alias("ship_days_std"),
-        F.avg("delay").alias("delay_mean"), F.avg("on_time").alias("on_time_rate"),
-        (F.lit(1.0) - F.avg("late")).alias("delivery_reliability"),
-        F.sum("qty").alias("qty_sum"), F.count(F.lit(1)).alias("order_lines"),
-        F.year(F.max("order_date")).alias("last_year"), F.month(F.max("order_date")).alias("last_month"))
-    return reliability_class(agg.na.drop())
+    columns = [*SUPPLIER_FEATURES, "delivery_reliability"]
+    return reliability_class(products.select("product_id", *[F.col(c).cast("double").alias(c) for c in columns]).na.drop())
 
 
 def minmax_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -99,22 +99,14 @@ def reliability_class(i):
 
 
 @query("supplier_dataset", _wm(
-    "SELECT supplier_id, product_id, round_even(ship_days_mean, 9) AS ship_days_mean, "
-    "round_even(ship_days_std, 9) AS ship_days_std, round_even(delay_mean, 9) AS delay_mean, "
-    "round_even(on_time_rate, 9) AS on_time_rate, round_even(delivery_reliability, 9) AS delivery_reliability, "
-    "round_even(qty_sum, 9) AS qty_sum, order_lines, last_year, last_month, "
+    "SELECT product_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in [*pr.SUPPLIER_FEATURES, "delivery_reliability"]) + ", "
     "CASE WHEN delivery_reliability > 0 AND delivery_reliability <= 0.7 THEN 'Poor' "
     "WHEN delivery_reliability > 0.7 AND delivery_reliability <= 0.9 THEN 'Average' "
-    "WHEN delivery_reliability > 0.9 AND delivery_reliability <= 1.0 THEN 'Good' END AS reliability_class FROM ("
-    "SELECT supplier_id, product_id, avg(actual_days) AS ship_days_mean, stddev_samp(actual_days) AS ship_days_std, "
-    "avg(delay) AS delay_mean, avg(on_time) AS on_time_rate, 1.0 - avg(late) AS delivery_reliability, "
-    "sum(qty) AS qty_sum, count(*) AS order_lines, CAST(year(max(order_date)) AS INTEGER) AS last_year, "
-    "CAST(month(max(order_date)) AS INTEGER) AS last_month FROM lines GROUP BY supplier_id, product_id) "
-    "WHERE ship_days_std IS NOT NULL AND NOT isnan(ship_days_std)"))
+    "WHEN delivery_reliability > 0.9 AND delivery_reliability <= 1.0 THEN 'Good' END AS reliability_class FROM policy WHERE "
+    + " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))" for c in [*pr.SUPPLIER_FEATURES, "delivery_reliability"])))
 def supplier_dataset(i):
-    """Per (supplier, product) delivery table, rows with missing values dropped."""
-    d = pr.supplier_dataset(i.lines)
-    return d.select(*[F.bround(c, 9).alias(c) if t == "double" else F.col(c) for c, t in d.dtypes])
+    """The supplier models' product table of eight features, rows with missing values dropped."""
+    return pr.supplier_dataset(i.policy_table)
 
 
 @query("scaling_variants", _wm("SELECT product_id, " + ", ".join(
@@ -415,8 +407,8 @@ def comprehensive_analysis(i):
 @query("supplier_regression")
 def supplier_regression(i):
     """Forest, boosting, linear and ridge on the supplier table; best by r2."""
-    data = pr.supplier_dataset(i.lines)
-    feats = ["ship_days_mean", "ship_days_std", "delay_mean", "on_time_rate", "qty_sum", "order_lines"]
+    data = materialize(pr.supplier_dataset(i.policy_table), "supplier_dataset")
+    feats = pr.SUPPLIER_FEATURES
     df = data.select("product_id", F.col("delivery_reliability").alias("label"), *feats).withColumn(
         "is_test", pr.split_flag())
     tr, te = df.filter(~F.col("is_test")), df.filter(F.col("is_test"))
@@ -435,8 +427,8 @@ def supplier_regression(i):
 @query("supplier_classifier")
 def supplier_classifier(i):
     """Forest and logistic regression on the reliability class."""
-    data = pr.supplier_dataset(i.lines)
-    return mo.supplier_classifier(data, ["ship_days_mean", "ship_days_std", "delay_mean", "qty_sum", "order_lines"])
+    data = materialize(pr.supplier_dataset(i.policy_table), "supplier_dataset")
+    return mo.supplier_classifier(data, pr.SUPPLIER_FEATURES)
 
 
 @query("model_roundtrip")
