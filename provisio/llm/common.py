@@ -41,3 +41,13 @@ def slices(batches: Iterable, chars: int = 2_000_000) -> Iterator[tuple[list, li
             stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chars, "right")))
             yield ids[at:stop], text.slice(at, stop - at).to_pylist()
             at = stop
+
+
+def thinned(df: DataFrame, by: str, counts: dict, want: int, id_col: str = "doc_id") -> DataFrame:
+    """Rows of each value of ``by`` whose id's hash is among the lowest: about twice ``want`` of ``counts[value]``.
+
+    A bounded sample is then taken from these, so no task ever sorts or receives more."""
+    if not counts:
+        return df.where("false")
+    share = F.create_map(*[F.lit(x) for v, n in counts.items() for x in (v, min(1.0, (2.0 * want + 100) / n))])
+    return df.where(F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(1 << 30)) < share[F.col(by)] * float(1 << 30))

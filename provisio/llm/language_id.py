@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from provisio.llm.common import slices, texts
+from provisio.llm.common import slices, texts, thinned
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -155,6 +155,8 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", tex
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                         F.col(text_col).cast("string").alias("text"))
     known = known.where((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # one row per language
+    known = thinned(known, "lang", {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}, max_docs)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = (known.withColumn("n", F.row_number().over(first)).where(F.col("n") <= max_docs)
               .select("lang", "text"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provisio.llm.common import slices, texts
+from provisio.llm.common import slices, texts, thinned
 
 SIZES = (4, 5, 6, 7)
 BITS = 22
@@ -123,6 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     n0, n1 = (min(max_rows, total.get(c, 0)) for c in (0, 1))
     if not n0 or not n1:
         return np.zeros(0, np.int64), np.zeros(0), 30.0 if n1 else -30.0
+    marks = thinned(marks, "y", total, max_rows)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = (marks.where("y = 1").orderBy(*order).limit(max_rows)
               .unionAll(marks.where("y = 0").orderBy(*order).limit(max_rows)))
