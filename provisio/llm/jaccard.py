@@ -42,7 +42,7 @@ from provisio.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
-ROUNDS = 3
+ROUNDS = 2
 
 
 def shingle_sets(parts: list[bytes | None], k: int = SHINGLE) -> list[np.ndarray]:
@@ -141,23 +141,22 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, id_col: s
     def labelled(edges: DataFrame) -> DataFrame:
         return stored(ids.join(components(edges), "id", "left").select("id", "grp", "n", F.coalesce("component", "id").alias("component")), "labels")
 
-    tried = pairs
-    for _ in range(ROUNDS - 1):
-        own = labelled(links)
+    tried, own = pairs, labelled(links)
+    for _ in range(ROUNDS):
         # Per posting, the least component and its least group there; the others' groups are tried with it.
         marked = postings.join(own.where("id = grp").select("grp", "component"), "grp")
         best = marked.groupBy("token").agg(F.min(F.struct("component", "grp")).alias("best"),
                                            F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
         proposed = (marked.join(best, "token").where("component != best.component")
                     .groupBy(F.col("grp").alias("a")).agg(F.min("best.grp").alias("b")))
-        proposed = stored(proposed.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if proposed.isEmpty():
+        proposed = proposed.join(tried, ["a", "b"], "left_anti")
+        fresh = stored(_verified(proposed, sets, percent), "links")
+        if fresh.isEmpty():
             break
-        tried = tried.unionAll(proposed)
-        links = stored(links.unionAll(_verified(proposed, sets, percent)), "links")
+        links, tried = links.unionAll(fresh), tried.unionAll(fresh)
+        own = labelled(links)
 
     # What is left: group pairs that pass the filters and have members in different components.
-    own = labelled(links)
     span = own.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     marked = stored(postings.join(span, "grp"), "postings")
     # Only a posting that holds several components can hold a pair between them.
@@ -173,9 +172,13 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, id_col: s
     right = own.select(F.col("id").alias("b"), F.col("grp").alias("h"), F.col("component").alias("cb"))
     member_pairs = (group_pairs.join(left, "g").join(right, "h")
                     .where((F.col("ca") != F.col("cb")) & ((F.col("g") != F.col("h")) | (F.col("a") < F.col("b")))).select("a", "b"))
-    links = stored(links.unionAll(_verified(member_pairs, sets, percent)), "links")
-
-    found = components(links)
-    named = first.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    return every.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    fresh = stored(_verified(member_pairs, sets, percent), "links")
+    if not fresh.isEmpty():
+        own = labelled(links.unionAll(fresh))
+
+    named = first.join(own.select("id", "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    rows = every.select("doc_id", F.col("n").alias("n_shingles"), "digest")
+    # Documents that link with nothing have no digest; they do not take part in the join.
+    alone = rows.where("digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return alone.unionAll(rows.where("digest is not null").join(named, "digest", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
