@@ -29,7 +29,7 @@ from provisio.llm.common import stored, texts
 
 BLOCK_BYTES = 8_000_000
 DEPTH = 2
-SHARD_BITS = 24
+SHARD_BITS = 22
 _BLOCK = "block long, ids array<long>, sizes array<int>, blob binary"
 _FACTORS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 
@@ -106,7 +106,7 @@ def rows_of(batches, extra: int = 0) -> Iterator[tuple]:
                    *(batch.column(4 + k)[i].as_py() for k in range(extra)))
 
 
-def pieces(parts: list[bytes | None], size: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def pieces(parts: list[bytes | None], size: int = 500_000) -> Iterator[tuple[int, list[bytes]]]:
     """(number of the first, texts) in slices of about ``size`` bytes; a null text is empty here."""
     at = 0
     while at < len(parts):

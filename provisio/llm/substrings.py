@@ -67,7 +67,7 @@ def repeated_spans(docs: DataFrame, n: int = N, id_col: str = "doc_id", text_col
     """(blocks with the answers for their windows, bits of a shard's number)."""
     blocks = sk.pack(docs, id_col=id_col, text_col=text_col)
     bits = sk.cell_bits(blocks)
-    shard_bits = max(0, bits - 23)  # a shard's candidates: a few millions at most
+    shard_bits = max(0, bits - 21)  # a shard holds a million candidates at most
 
     known = sk.estimates(blocks, lambda parts: window_hashes(parts, n, False)[0], bits)
 

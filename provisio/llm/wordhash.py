@@ -28,7 +28,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def _pow(base: np.uint64, n: int) -> np.ndarray:
-    return _powers(int(base), 1 << max(21, int(n).bit_length()))[:n]
+    return _powers(int(base), 1 << max(19, int(n).bit_length()))[:n]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
