@@ -52,25 +52,25 @@ class _Stock:
             self.bits &= ~(1 << length)
             self.mirror &= ~(1 << (self.capacity - length))
 
-    def times(self, combo: tuple[int, ...]) -> int:
-        return min(self.n[x] // combo.count(x) for x in combo)
+    def has(self, used: dict[int, int], *more: int) -> bool:
+        return all(self.n[x] >= used.get(x, 0) + more.count(x) for x in more)
 
     def largest(self, at_most: int) -> int:
         return (self.bits & ((1 << (at_most + 1)) - 1)).bit_length() - 1 if at_most > 0 else -1
 
-    def pair(self, used: tuple[int, ...], total: int) -> tuple[int, ...] | None:
+    def pair(self, used: dict[int, int], total: int, *more: int) -> tuple[int, ...] | None:
         found = self.bits & (self.mirror >> (self.capacity - total)) & ((1 << (total // 2 + 1)) - 1)
         while found:  # the shortest partner first: it leaves with the longest
             low = found & -found
             a = low.bit_length() - 1
-            if a and self.times((*used, a, total - a)):
+            if a and self.has(used, *more, a, total - a):
                 return (a, total - a)
             found ^= low
         return None
 
-    def exact(self, used: tuple[int, ...], gap: int) -> tuple[int, ...] | None:
+    def exact(self, used: dict[int, int], gap: int) -> tuple[int, ...] | None:
         """Lengths in stock, beside ``used``, that sum to ``gap``: one, two or three."""
-        if self.n[gap] and self.times((*used, gap)):
+        if self.n[gap] and self.has(used, gap):
             return (gap,)
         if two := self.pair(used, gap):
             return two
@@ -78,46 +78,54 @@ class _Stock:
         while singles:
             low = singles & -singles
             a = low.bit_length() - 1
-            if a and self.times((*used, a)) and (two := self.pair((*used, a), gap - a)):
+            if a and self.has(used, a) and (two := self.pair(used, gap - a, a)):
                 return (a, *two)
             singles ^= low
         return None
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths of one sequence, how many sequences) that use up all counts."""
+Pattern = tuple[tuple[int, int], ...]
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
+    """Patterns ((length, copies) of one sequence, how many sequences) that use up all counts.
+
+    Copies of one length are taken together, so a million pieces of one token are one step."""
     stock, out = _Stock({k: v for k, v in counts.items() if v > 0}, capacity), []
     while stock.bits:
-        combo: tuple[int, ...] = (stock.bits.bit_length() - 1,)
-        gap = capacity - combo[0]
+        first = stock.bits.bit_length() - 1
+        used, gap = {first: 1}, capacity - first
         while gap:
-            if more := stock.exact(combo, gap):
-                combo, gap = (*combo, *more), 0
+            if more := stock.exact(used, gap):
+                for x in more:
+                    used[x] = used.get(x, 0) + 1
                 break
             fit = stock.largest(gap)
-            while fit > 0 and not stock.times((*combo, fit)):
+            while fit > 0 and not stock.has(used, fit):
                 fit = stock.largest(fit - 1)
             if fit <= 0:
                 break
-            combo, gap = (*combo, fit), gap - fit
-        times = stock.times(combo)
-        for x in combo:
-            stock.take(x, times)
-        out.append((combo, times))
+            copies = min(gap // fit, stock.n[fit] - used.get(fit, 0))
+            used[fit] = used.get(fit, 0) + copies
+            gap -= copies * fit
+        times = min(stock.n[x] // c for x, c in used.items())
+        for x, c in used.items():
+            stock.take(x, times * c)
+        out.append((tuple(used.items()), times))
     return out
 
 
-def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
-    """By length: rows (first number, first sequence, offset) of the plan, by first number."""
+def slots(patterns: list[tuple[Pattern, int]]) -> dict[int, np.ndarray]:
+    """By length: rows (first number, first sequence, offset, copies) of the plan, by first number."""
     used: dict[int, int] = {}
     rows: dict[int, list] = {}
     sequence = 0
     for combo, times in patterns:
         offset = 0
-        for x in combo:
-            rows.setdefault(x, []).append((used.get(x, 0), sequence, offset))
-            used[x] = used.get(x, 0) + times
-            offset += x
+        for x, copies in combo:
+            rows.setdefault(x, []).append((used.get(x, 0), sequence, offset, copies))
+            used[x] = used.get(x, 0) + times * copies
+            offset += x * copies
         sequence += times
     return {x: np.array(r, dtype=np.int64) for x, r in rows.items()}
 
@@ -178,8 +186,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             for x in np.unique(length):
                 rows, at = by_length[int(x)], np.flatnonzero(length == x)
                 k = np.searchsorted(rows[:, 0], number[at], "right") - 1
-                sequence[at] = rows[k, 1] + number[at] - rows[k, 0]
-                offset[at] = rows[k, 2]
+                place_in, copies = number[at] - rows[k, 0], rows[k, 3]
+                sequence[at] = rows[k, 1] + place_in // copies
+                offset[at] = rows[k, 2] + place_in % copies * x
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:5], pa.array(sequence), pa.array(offset)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
