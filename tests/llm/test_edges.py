@@ -174,11 +174,29 @@ def test_plan_uses_everything_once_and_fills_exactly():
         counts = {int(k): int(v) for k, v in zip(r.integers(1, 65, 30), r.integers(1, 9, 30))}
         used: dict = {}
         for combo, times in packing.plan(counts, 64):
-            assert sum(combo) <= 64 and times > 0
-            for x in combo:
-                used[x] = used.get(x, 0) + times
+            assert sum(x * c for x, c in combo) <= 64 and times > 0
+            for x, c in combo:
+                used[x] = used.get(x, 0) + times * c
         assert used == counts
-    assert sorted(packing.plan({40: 5, 24: 3, 10: 2, 14: 2}, 64)) == [((40, 10, 14), 2), ((40, 24), 3)]
+    assert sorted(packing.plan({40: 5, 24: 3, 10: 2, 14: 2}, 64)) == [(((40, 1), (10, 1), (14, 1)), 2), (((40, 1), (24, 1)), 3)]
+
+
+def test_many_tiny_pieces_are_planned_at_once():
+    counts = {1: 1_000_000, 2: 30_000, 700: 11, 4000: 3, 4096: 5}
+    made = packing.plan(counts)
+    assert len(made) < 40
+    sequences = sum(t for _, t in made)
+    assert sequences == -(-sum(k * v for k, v in counts.items()) // 4096)
+    for x, rows in packing.slots(made).items():
+        assert rows[0][0] == 0
+
+
+def test_tiny_pieces_are_placed_once(spark):
+    docs = spark.createDataFrame([(k, "" if k % 3 else "word " * (k % 50)) for k in range(6000)], "doc_id long, text string")
+    got = packing.best_fit_packing(docs, tokenizer_path(), capacity=64).toPandas()
+    assert got.sequence_id.nunique() <= -(-got.length.sum() // 64) + 1
+    for _, s in got.sort_values("offset").groupby("sequence_id"):
+        assert s.offset.tolist() == [0, *s.length.cumsum().tolist()[:-1]] and s.length.sum() <= 64
 
 
 def test_embeddings_edges(spark):
