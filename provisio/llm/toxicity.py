@@ -29,10 +29,10 @@ from provisio.llm.common import slices, texts, thinned
 
 SIZES = (4, 5, 6, 7)
 BITS = 22
-MAX_ROWS = 3000
+MAX_ROWS = 2000
 SHARD_BITS = 5
 SHARDS = 1 << SHARD_BITS
-MAX_FEATURES = 4096
+MAX_FEATURES = 1024
 FOLDS = 5
 PER, SMOOTH = 1000.0, 500.0   # a value's unit, and what short texts are lengthened by
 
@@ -113,7 +113,8 @@ def fit(label: np.ndarray, at: np.ndarray, flat: np.ndarray, x: np.ndarray, shar
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic", max_features: int = MAX_FEATURES):
     """(features, weights, intercept), learnt from labelled documents outside fold 0: at most
-    ``max_rows`` of each class.  The driver gets the selected features' entries alone."""
+    ``max_rows`` of each class.  The driver gets the selected features' entries alone, at most
+    2 x ``max_rows`` x ``max_features`` of 21 bytes (a group of copies can have them all)."""
     marks = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
              .where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
              .where(fold() != 0))
@@ -159,11 +160,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
         rank = np.argsort(keep)
         where = np.minimum(np.searchsorted(keep[rank], flat), max(0, len(keep) - 1))
         on = np.flatnonzero(keep[rank][where] == flat) if len(keep) else np.zeros(0, np.int64)
-        return pa.table({"doc_id": part.column("doc_id").to_numpy()[own[on]], "y": part.column("y").to_numpy()[own[on]],
-                         "gram": flat[on], "scale": scale[rank][where[on]] if len(keep) else np.zeros(0), "x": x[on]})
+        return pa.table({"doc_id": part.column("doc_id").to_numpy()[own[on]], "y": part.column("y").to_numpy()[own[on]].astype(np.int8),
+                         "gram": flat[on].astype(np.int32), "scale": (scale[rank][where[on]] if len(keep) else np.zeros(0)).astype(np.float32),
+                         "x": x[on].astype(np.float32)})
 
     got = (picked.mapInArrow(gather, packed).groupBy("shard")
-           .applyInArrow(choose, "doc_id long, y int, gram int, scale double, x double").toPandas())
+           .applyInArrow(choose, "doc_id long, y byte, gram int, scale float, x float").toPandas())
     keep, flat = np.unique(got["gram"].to_numpy(dtype=np.int64), return_inverse=True)
     ids, first, at = np.unique(got["doc_id"].to_numpy(), return_index=True, return_inverse=True)
     scale = np.zeros(len(keep))
