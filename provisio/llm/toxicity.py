@@ -4,10 +4,11 @@ by naive Bayes log-count ratios.
 Features are the byte n-grams of 4 to 7 bytes of the whole text (A-Z lower-cased, white
 space as blanks), hashed.  A feature's value is the logarithm of one plus its
 occurrences per thousand bytes (smoothed for short texts), so a long clean text does not gather
-score by its length.  ``train`` takes each feature's naive Bayes log-count ratio r, keeps the
+score by its length.  ``train`` takes each feature's naive Bayes log-count ratio r, keeps all
 features whose values differ significantly between the classes, and fits a logistic
-regression on the values times r.  The sample it learns from is bounded by
-``max_rows`` per class (taken in the order of a hash of the id, so it does not follow
+regression on the values times r, by gradients that tasks add up over their documents.  Equal
+texts of a class count once.  The sample it learns from is bounded by
+``max_rows`` per class (taken in the order of a hash of the text, so it does not follow
 the id or the source) and weighted back to the classes' shares.  ``score`` applies
 the weights to every whole text.
 
@@ -25,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provisio.llm.common import slices, texts, thinned
+from provisio.llm.common import slices, stored, texts, thinned
 
 SIZES = (4, 5, 6, 7)
 BITS = 22
-MAX_ROWS = 2000
+MAX_ROWS = 3000
 SHARD_BITS = 5
 SHARDS = 1 << SHARD_BITS
-MAX_FEATURES = 1024
+STEPS, L2, PARTS = 60, 1e-3, 12   # of the fit; PARTS is the most vectors of weights a step sends to the driver
 FOLDS = 5
 PER, SMOOTH = 1000.0, 500.0   # a value's unit, and what short texts are lengthened by
 
@@ -71,8 +72,8 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     return *np.unique(np.concatenate(got), return_counts=True), len(got[0])
 
 
-def select(label: np.ndarray, flat: np.ndarray, count: np.ndarray, x: np.ndarray, n0: int, n1: int,
-           most: int) -> tuple[np.ndarray, np.ndarray]:
+def select(label: np.ndarray, flat: np.ndarray, count: np.ndarray, x: np.ndarray, n0: int,
+           n1: int) -> tuple[np.ndarray, np.ndarray]:
     """The features whose values differ significantly between the classes, and the scale of each:
     its log-count ratio over its spread.  Arrays: one entry per document and feature."""
     kinds, flat = np.unique(flat, return_inverse=True)
@@ -84,96 +85,159 @@ def select(label: np.ndarray, flat: np.ndarray, count: np.ndarray, x: np.ndarray
     square = np.bincount(flat, weights=x * x, minlength=size) / (n0 + n1)
     spread = np.maximum(square - ((n0 * mean[0] + n1 * mean[1]) / (n0 + n1)) ** 2, 1e-6)
     z = np.abs(mean[1] - mean[0]) / np.sqrt(spread * (1 / n0 + 1 / n1))
-    keep = np.argsort(-z, kind="stable")[:most]
-    keep = keep[z[keep] > 6]
+    keep = np.flatnonzero(z > 6)
     return kinds[keep], ratio[keep] / np.sqrt(spread[keep])
 
 
-def fit(label: np.ndarray, at: np.ndarray, flat: np.ndarray, x: np.ndarray, share: float, size: int,
-        steps: int = 400, l2: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Logistic regression (accelerated gradient steps): weights and intercept.
+def fit(slope, size: int, bias: float, steps: int = STEPS, memory: int = 10) -> tuple[np.ndarray, float]:
+    """L-BFGS from zero weights and ``bias``; ``slope(w, bias)`` gives the loss and its gradients, without the penalty on w."""
 
-    Entry k says that document ``at[k]`` has value ``x[k]`` of feature ``flat[k]``; the classes are
-    weighted to ``share`` of label 1."""
-    n1 = label.sum()
-    weight = np.where(label == 1, share / n1, (1 - share) / (len(label) - n1))
-    w, v, bias, vb = np.zeros(size), np.zeros(size), float(np.log(share / (1 - share))), 0.0
-    norm = np.bincount(at, weights=x * x, minlength=len(label))
-    rate = 1.0 / (0.25 * (weight * norm).sum() + 0.25)
-    for k in range(steps):
-        margin = np.bincount(at, weights=x * w[flat], minlength=len(label)) + bias
-        g = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - label)
-        gw = np.bincount(flat, weights=x * g[at], minlength=size) + l2 * w
-        on = k / (k + 3)
-        v, vb = on * v - rate * gw, on * vb - rate * g.sum()
-        w, bias = w + v, bias + vb
-    return w, bias
+    def at(p):
+        loss, g, gb = slope(p[:-1], p[-1])
+        return loss + 0.5 * L2 * (p[:-1] @ p[:-1]), np.append(g + L2 * p[:-1], gb)
 
+    p = np.append(np.zeros(size), bias)
+    loss, g = at(p)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    calls = 1
+    while calls < steps and np.abs(g).max() > 1e-6:
+        d, used = -g, []
+        for s, y in reversed(past):
+            used.append((s @ d) / (s @ y))
+            d = d - used[-1] * y
+        d *= (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1 / max(1.0, np.linalg.norm(g))
+        for (s, y), k in zip(past, reversed(used)):
+            d = d + (k - (y @ d) / (s @ y)) * s
+        rate, better = 1.0, False
+        while calls < steps and not better:
+            new = p + rate * d
+            loss_new, g_new = at(new)
+            calls, better = calls + 1, loss_new <= loss + 1e-4 * rate * (g @ d)
+            rate /= 2
+        if not better:
+            break
+        if (new - p) @ (g_new - g) > 0:
+            past = [*past, (new - p, g_new - g)][-memory:]
+        done = loss - loss_new <= 1e-7 * max(loss, 1e-3)
+        p, loss, g = new, loss_new, g_new
+        if done:
+            break
+    return p[:-1], float(p[-1])
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id",
-          text_col: str = "text", label_col: str = "toxic", max_features: int = MAX_FEATURES):
-    """(features, weights, intercept), learnt from labelled documents outside fold 0: at most
-    ``max_rows`` of each class.  The driver gets the selected features' entries alone, at most
-    2 x ``max_rows`` x ``max_features`` of 21 bytes (a group of copies can have them all)."""
-    marks = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
-             .where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
-             .where(fold() != 0))
-    there = texts(docs, id_col, text_col).select("doc_id").where("doc_id is not null").distinct()
-    marks = marks.join(there, "doc_id", "left_semi")
-    total = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = (min(max_rows, total.get(c, 0)) for c in (0, 1))
-    if not n0 or not n1:
-        return np.zeros(0, np.int64), np.zeros(0), 30.0 if n1 else -30.0
-    marks = thinned(marks, "y", total, max_rows)
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    sample = (marks.where("y = 1").orderBy(*order).limit(max_rows)
-              .unionAll(marks.where("y = 0").orderBy(*order).limit(max_rows)))
-    picked = (texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")  # at most 2 x max_rows rows of two numbers
-              .dropDuplicates(["doc_id"]).select("doc_id", "text", "y"))
-    packed = "doc_id long, y int, positions long, shard int, grams binary, counts binary"
 
-    def gather(batches):
-        """A document's features, by range of their hashes."""
+def _gathered(rows: DataFrame) -> DataFrame:
+    """A text's features, by range of their hashes."""
+
+    def run(batches):
         for batch in batches:
-            label = batch.column(2).to_pylist()
-            at = 0
+            label, at = batch.column(2).to_pylist(), 0
             for ids, text in slices([batch], 500_000):
                 out = []
-                for doc, t in zip(ids, text, strict=True):
+                for t in text:
                     f, c, n = features(t)
                     cut = np.searchsorted(f, np.arange(SHARDS + 1) << (BITS - SHARD_BITS))
-                    out.extend((doc, label[at], n, k, f[i:j].astype("<i4").tobytes(), np.minimum(c[i:j], 65535).astype("<u2").tobytes())
+                    out.extend((label[at], n, k, f[i:j].astype("<i4").tobytes(), np.minimum(c[i:j], 65535).astype("<u2").tobytes())
                                for k, (i, j) in enumerate(zip(cut, cut[1:])) if j > i)
                     at += 1
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)],
-                                                 names=["doc_id", "y", "positions", "shard", "grams", "counts"])
+                                                 names=["y", "positions", "shard", "grams", "counts"])
+
+    return rows.mapInArrow(run, "y int, positions long, shard int, grams binary, counts binary")
+
+
+def _chosen(gathered: DataFrame, n0: int, n1: int) -> tuple[np.ndarray, np.ndarray]:
+    """The selected features in order, and the scale of each; every range is judged over the whole sample in a task."""
 
     def choose(part: pa.Table) -> pa.Table:
-        """One range of features over the whole sample: the selected ones' entries."""
         grams = [np.frombuffer(g, "<i4") for g in part.column("grams").to_pylist()]
         count = np.concatenate([np.frombuffer(c, "<u2") for c in part.column("counts").to_pylist()]).astype(np.float64)
         own = np.repeat(np.arange(part.num_rows), [len(g) for g in grams])
-        flat = np.concatenate(grams)
         x = values(count, part.column("positions").to_numpy()[own])
-        keep, scale = select(part.column("y").to_numpy()[own], flat, count, x, n0, n1, max(1, max_features // SHARDS))
-        rank = np.argsort(keep)
-        where = np.minimum(np.searchsorted(keep[rank], flat), max(0, len(keep) - 1))
-        on = np.flatnonzero(keep[rank][where] == flat) if len(keep) else np.zeros(0, np.int64)
-        return pa.table({"doc_id": part.column("doc_id").to_numpy()[own[on]], "y": part.column("y").to_numpy()[own[on]].astype(np.int8),
-                         "gram": flat[on].astype(np.int32), "scale": (scale[rank][where[on]] if len(keep) else np.zeros(0)).astype(np.float32),
-                         "x": x[on].astype(np.float32)})
-
-    got = (picked.mapInArrow(gather, packed).groupBy("shard")
-           .applyInArrow(choose, "doc_id long, y byte, gram int, scale float, x float").toPandas())
-    keep, flat = np.unique(got["gram"].to_numpy(dtype=np.int64), return_inverse=True)
-    ids, first, at = np.unique(got["doc_id"].to_numpy(), return_index=True, return_inverse=True)
-    scale = np.zeros(len(keep))
-    scale[flat] = got["scale"].to_numpy()
-    label = got["y"].to_numpy()[first]
-    without = [n - int((label == c).sum()) for c, n in ((0, n0), (1, n1))]   # sampled documents that have none of them
-    label = np.concatenate([label, np.repeat([0, 1], without)]).astype(float)
-    w, bias = fit(label, at, flat, got["x"].to_numpy() * scale[flat], total[1] / (total[0] + total[1]), len(keep))
+        keep, scale = select(part.column("y").to_numpy()[own], np.concatenate(grams), count, x, n0, n1)
+        return pa.table({"gram": keep.astype(np.int32), "scale": scale.astype(np.float64)})
+
+    got = gathered.groupBy("shard").applyInArrow(choose, "gram int, scale double").toPandas().sort_values("gram")
+    return got["gram"].to_numpy(dtype=np.int64), got["scale"].to_numpy(dtype=np.float64)
+
+
+def _entries(rows: DataFrame, keep: np.ndarray, scale: np.ndarray) -> DataFrame:
+    """(y, at, x): of each text, the places of its selected features in ``keep`` and their scaled values."""
+    shared = rows.sparkSession.sparkContext.broadcast((keep, scale))
+
+    def run(batches):
+        keep, scale = shared.value
+        for batch in batches:
+            label, at = batch.column(2).to_pylist(), 0
+            for ids, text in slices([batch], 500_000):
+                out = []
+                for t in text:
+                    f, c, n = features(t)
+                    place = np.minimum(np.searchsorted(keep, f), len(keep) - 1)
+                    on = keep[place] == f
+                    x = values(c[on], n) * scale[place[on]]
+                    out.append((label[at], place[on].astype("<i4").tobytes(), x.astype("<f4").tobytes()))
+                    at += 1
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate((pa.int32(), pa.binary(), pa.binary()))],
+                                                 names=["y", "at", "x"])
+
+    return stored(rows.mapInArrow(run, "y int, at binary, x binary"), "toxicity_entries").coalesce(PARTS)
+
+
+def _slope(entries: DataFrame, weight: tuple[float, float]):
+    """What ``fit`` asks for: each task adds up its documents' losses and gradients and sends one vector."""
+
+    def at(w: np.ndarray, bias: float) -> tuple[float, np.ndarray, float]:
+        shared = entries.sparkSession.sparkContext.broadcast((w, bias))
+
+        def run(batches):
+            w, bias = shared.value
+            loss, g, gb = 0.0, np.zeros(len(w)), 0.0
+            for batch in batches:
+                for y, places, x in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                    places, x = np.frombuffer(places, "<i4"), np.frombuffer(x, "<f4")
+                    margin = float(w[places] @ x) + bias
+                    off = weight[y] * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y)
+                    loss += weight[y] * np.logaddexp(0.0, -margin if y else margin)
+                    g[places] += off * x   # a document's places are distinct
+                    gb += off
+            yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([g.tobytes()], pa.binary()), pa.array([gb])], names=["loss", "g", "gb"])
+
+        loss, g, gb = 0.0, np.zeros(len(w)), 0.0
+        for r in entries.mapInArrow(run, "loss double, g binary, gb double").collect():
+            loss, g, gb = loss + r["loss"], g + np.frombuffer(r["g"], np.float64), gb + r["gb"]
+        shared.destroy()
+        return loss, g, gb
+
+    return at
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id",
+          text_col: str = "text", label_col: str = "toxic"):
+    """(features, weights, intercept), learnt from the distinct texts of labelled documents outside fold 0: at most
+    ``max_rows`` of each class.  The driver gets the selected features and sums over documents, never a document's entries."""
+    marks = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
+             .where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
+             .where(fold() != 0))
+    own = texts(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"))
+    marks = stored(own.join(marks, "doc_id").groupBy("text_hash", "y").agg(F.min("doc_id").alias("doc_id")), "toxicity_marks")
+    total = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n0, n1 = (min(max_rows, total.get(c, 0)) for c in (0, 1))
+    if not n0 or not n1:
+        return np.zeros(0, np.int64), np.zeros(0), 30.0 if n1 else -30.0
+    marks = thinned(marks, "y", total, max_rows, "text_hash")
+    order = [F.xxhash64("text_hash"), F.col("text_hash")]
+    sample = (marks.where("y = 1").orderBy(*order).limit(max_rows)
+              .unionAll(marks.where("y = 0").orderBy(*order).limit(max_rows)))
+    rows = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    picked = stored(rows.join(F.broadcast(sample), ["doc_id", "text_hash"])  # at most 2 x max_rows rows of three numbers
+                    .dropDuplicates(["text_hash", "y"]).select("doc_id", "text", "y"), "toxicity_sample")
+    keep, scale = _chosen(_gathered(picked), n0, n1)
+    share = total[1] / (total[0] + total[1])
+    bias = float(np.log(share / (1 - share)))
+    if not len(keep):
+        return keep, scale, bias
+    w, bias = fit(_slope(_entries(picked, keep, scale), ((1 - share) / n0, share / n1)), len(keep), bias)
     return keep, w * scale, bias
 
 
