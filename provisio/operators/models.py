@@ -73,14 +73,23 @@ def task_frame(ml: DataFrame, target: str, include_target: bool = False,
     return df.filter(F.col("label").isNotNull() & ~F.isnan("label")), cols
 
 
-def regression_metrics(pred: DataFrame, y: str = "label", y_hat: str = "prediction") -> DataFrame:
-    """Rmse, mae, r2 as ONE aggregate over (y, y_hat)."""
+def _regression_columns(y: str, y_hat: str) -> list:
     e = F.col(y) - F.col(y_hat)
     residual, total = F.sum(e * e), F.count(y) * F.var_pop(y)
     # a constant target: 1 for a perfect prediction, else 0
     r2 = F.when(total == 0, F.when(residual == 0, 1.0).otherwise(0.0)).otherwise(F.lit(1.0) - F.try_divide(residual, total))
-    return pred.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), r2.alias("r2"),
-                    F.count(y).alias("rows"))
+    return [F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), r2.alias("r2"), F.count(y).alias("rows")]
+
+
+def regression_metrics(pred: DataFrame, y: str = "label", y_hat: str = "prediction") -> DataFrame:
+    """Rmse, mae, r2 as ONE aggregate over (y, y_hat)."""
+    return pred.agg(*_regression_columns(y, y_hat))
+
+
+def run_metric_values(pred: DataFrame, y: str = "label", y_hat: str = "prediction") -> DataFrame:
+    """IO11: the seven metrics of a run (L10's three, mean and population std of y and y_hat) as ONE aggregate."""
+    return pred.agg(*_regression_columns(y, y_hat), F.avg(y).alias("mean_target"), F.stddev_pop(y).alias("std_target"),
+                    F.avg(y_hat).alias("mean_prediction"), F.stddev_pop(y_hat).alias("std_prediction"))
 
 
 def evaluation_metrics(pred: DataFrame, y: str = "label", y_hat: str = "prediction") -> DataFrame:
@@ -140,13 +149,18 @@ def _fit_one(task: str, data, cand: Candidate, select_k: int | None) -> dict:
     train, test, cols, sigma, n = data
     try:
         model = fit_candidate(train, cols, cand, sigma, n, select_k)
-        m = regression_metrics(model.transform(test)).first()
+        m = run_metric_values(model.transform(test)).first()
     except Exception as e:  # noqa: BLE001 - a failing model is skipped, and its row says so
         return dict(task=task, model=cand.name, status=f"failed: {type(e).__name__}")
+    chosen = [[cols[k] for k in st.selectedFeatures] for st in model.stages if hasattr(st, "selectedFeatures")]
     return dict(task=task, model=cand.name, status="ok", rmse=float(m.rmse) if m.rmse is not None else None,
                 mae=float(m.mae) if m.mae is not None else None,
                 r2=float(m.r2) if m.r2 is not None else None, test_rows=int(m.rows),
-                train_rows=n, num_features=min(select_k or len(cols), len(cols)))
+                train_rows=n, num_features=min(select_k or len(cols), len(cols)),
+                mean_target=m.mean_target, std_target=m.std_target, mean_prediction=m.mean_prediction,
+                std_prediction=m.std_prediction, target_column=TASKS[task][0] if task in TASKS else None,
+                feature_selection_method="selectkbest" if chosen else "none", selected_features=chosen[0] if chosen else list(cols),
+                params={p.name: str(v) for p, v in model.stages[-1].extractParamMap().items()})
 
 
 def train_task(ml: DataFrame, task: str, candidates: Sequence[Candidate] = CANDIDATES,
@@ -160,17 +174,21 @@ LEADERBOARD_SCHEMA = ("task string, model string, status string, rmse double, ma
                       "test_rows long, train_rows long, num_features long")
 
 
+RUN_SCHEMA = (LEADERBOARD_SCHEMA + ", mean_target double, std_target double, mean_prediction double, std_prediction double, "
+              "target_column string, feature_selection_method string, selected_features array<string>, params map<string,string>")
+
+
 def model_leaderboard(spark: SparkSession, ml: DataFrame, tasks: Sequence[str] = tuple(TASKS),
                       candidates: Sequence[Candidate] = CANDIDATES, parallelism: int = 16,
-                      select_k: int | None = 15) -> DataFrame:
+                      select_k: int | None = 15, schema: str = LEADERBOARD_SCHEMA) -> DataFrame:
     """Every candidate for every task; the fits are submitted concurrently
-    (each fit is a set of distributed Spark jobs)."""
+    (each fit is a set of distributed Spark jobs).  ``RUN_SCHEMA`` adds IO11's parameters and metrics."""
     data = {t: _task_data(ml, t) for t in tasks}
     jobs = [(t, c) for t in tasks for c in candidates]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(lambda tc: _fit_one(tc[0], data[tc[0]], tc[1], select_k), jobs))
-    cols = [c.split()[0] for c in LEADERBOARD_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], LEADERBOARD_SCHEMA)
+    cols = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], schema)
 
 
 def best_model(leaderboard: DataFrame) -> DataFrame:

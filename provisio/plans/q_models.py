@@ -446,10 +446,9 @@ def model_roundtrip(i):
 
 @query("run_metrics")
 def run_metrics(i):
-    """IO11: one row per trained model appended to a run-metrics table, read back."""
-    lb = mo.model_leaderboard(i.spark, i.ml_table, tasks=["stockout_risk"],
-                              candidates=[c for c in mo.CANDIDATES if c.name in ("linear_regression", "ridge",
-                                                                                  "decision_tree")])
+    """IO11: one row per trained model (all tasks, all candidates) with its parameters and seven metrics,
+    appended to a run-metrics table, read back."""
+    lb = mo.model_leaderboard(i.spark, i.ml_table, schema=mo.RUN_SCHEMA)
     path = os.path.join(checkpoint_dir(i.spark), "run_metrics", uuid.uuid4().hex)
     lb.withColumn("run_id", F.expr("uuid()")).write.mode("append").parquet(path)
     return i.spark.read.parquet(path)
