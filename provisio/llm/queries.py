@@ -216,3 +216,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"), counts=True)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    from provisio.llm.token_alignment import alignment
+
+    return alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
