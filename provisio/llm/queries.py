@@ -224,3 +224,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from provisio.llm.token_alignment import alignment
 
     return alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and perplexity verdict of every document."""
+    from provisio.llm.perplexity import quality
+
+    return quality(table(spark, sf_dir, "documents"))
