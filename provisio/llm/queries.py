@@ -232,3 +232,45 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from provisio.llm.perplexity import quality
 
     return quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their commonest near word and its root."""
+    from provisio.llm.spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_spelling_variants"] = r"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(3988292384, x // 2) ELSE x // 2 END, b)) AS t),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+coded AS (
+  SELECT run, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64] END)) AS b
+  FROM runs WHERE length(run) >= 7),
+crc AS (
+  SELECT run, xor(4294967295, list_reduce(list_transform(b, lambda v: CAST(v AS BIGINT)), lambda x, y: xor(t[xor(x & 255, y) + 1], x // 256), 4294967295)) AS h
+  FROM coded, bits),
+res AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, CAST(h % length(run) AS BIGINT)) || substring(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+  FROM crc),
+w AS (SELECT word, count(*) AS n FROM res WHERE length(word) >= 7 GROUP BY 1 HAVING count(*) >= 2),
+cut AS (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS v FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (
+  SELECT a.word AS word, b.word AS other, b.n AS n FROM cut a JOIN cut b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN w b ON a.v = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN w b ON a.v = b.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS form_n FROM near GROUP BY 1),
+form AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.form_n >= 10 * w.n THEN b.form_n END AS form_n,
+         CASE WHEN b.form_n >= 10 * w.n THEN (SELECT min(x.other) FROM near x WHERE x.word = w.word AND x.n = b.form_n) END AS form
+  FROM w LEFT JOIN best b ON w.word = b.word),
+way(word, spot, step) AS (
+  SELECT word, form, 1 FROM form WHERE form IS NOT NULL
+  UNION ALL SELECT way.word, form.form, step + 1 FROM way JOIN form ON way.spot = form.word WHERE form.form IS NOT NULL),
+root AS (SELECT word, arg_max(spot, step) AS root FROM way GROUP BY 1)
+SELECT f.word, f.form, coalesce(r.root, f.word) AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM form f LEFT JOIN root r ON f.word = r.word
+"""

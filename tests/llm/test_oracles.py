@@ -20,16 +20,16 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, con, name):
-    got = queries.QUERIES[name](spark, SF).toPandas()
-    want = con.execute(queries.ORACLE[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
-    cols = sorted(got.columns)
-    rows = lambda d: sorted(map(tuple, d[cols].astype(object).to_numpy().tolist()), key=repr)
-    assert rows(got) == rows(want)
+    got = queries.QUERIES[name](spark, SF)
+    want = con.execute(queries.ORACLE[name])
+    names = [c[0] for c in want.description]
+    assert sorted(got.columns) == sorted(names)
+    rows = lambda found: sorted(map(tuple, found), key=repr)
+    assert rows(got.select(names).collect()) == rows(want.fetchall())
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names
