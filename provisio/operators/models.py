@@ -93,13 +93,11 @@ def run_metric_values(pred: DataFrame, y: str = "label", y_hat: str = "predictio
 
 
 def evaluation_metrics(pred: DataFrame, y: str = "label", y_hat: str = "prediction") -> DataFrame:
-    """Metrics plus mean/std (population) and ranges of y and y_hat."""
-    m = regression_metrics(pred, y, y_hat)
-    s = pred.agg(F.avg(y).alias("mean_target"), F.stddev_pop(y).alias("std_target"),
-                 F.avg(y_hat).alias("mean_prediction"), F.stddev_pop(y_hat).alias("std_prediction"),
-                 F.min(y).alias("min_target"), F.max(y).alias("max_target"),
-                 F.min(y_hat).alias("min_prediction"), F.max(y_hat).alias("max_prediction"))
-    return m.select("*", *[s.select(c).scalar().alias(c) for c in s.columns])
+    """Metrics plus mean/std (population) and ranges of y and y_hat, as ONE aggregate."""
+    return pred.agg(*_regression_columns(y, y_hat), F.avg(y).alias("mean_target"), F.stddev_pop(y).alias("std_target"),
+                    F.avg(y_hat).alias("mean_prediction"), F.stddev_pop(y_hat).alias("std_prediction"),
+                    F.min(y).alias("min_target"), F.max(y).alias("max_target"),
+                    F.min(y_hat).alias("min_prediction"), F.max(y_hat).alias("max_prediction"))
 
 
 def _scaling(cols: list[str], n: int) -> list:
@@ -201,6 +199,21 @@ def best_model(leaderboard: DataFrame) -> DataFrame:
             .select("task", "metric", "b.model", "b.rmse", "b.mae", "b.r2"))
 
 
+def publish_best(spark: SparkSession, ml: DataFrame, leaderboard: DataFrame, root: str, select_k: int | None = 15) -> None:
+    """IO12: fit each task's selected candidate (L13) on the training rows once more and publish it with its metadata."""
+    from provisio.sources import registry
+
+    for row in best_model(leaderboard).collect():       # one row per task
+        train, test, cols, sigma, n = _task_data(ml, row.task)
+        cand = next(c for c in CANDIDATES if c.name == row.model)
+        model = fit_candidate(train, cols, cand, sigma, n, select_k)
+        m = regression_metrics(model.transform(test)).first()
+        chosen = [[cols[k] for k in st.selectedFeatures] for st in model.stages if hasattr(st, "selectedFeatures")]
+        registry.publish(spark, root, model, task=row.task, model=row.model, target=TASKS[row.task][0], metric=row.metric, columns=list(cols),
+                         selected=chosen[0] if chosen else list(cols), rmse=m.rmse, mae=m.mae, r2=m.r2,
+                         params={p.name: str(v) for p, v in model.stages[-1].extractParamMap().items()})
+
+
 def tuned_models(ml: DataFrame, task: str, folds: int = 5, parallelism: int = 8) -> DataFrame:
     """Grid search with k-fold cross-validation (MSE) for the forest; the winner is scored on the held-out rows.
 
@@ -284,7 +297,13 @@ def per_tree_interval(model: PipelineModel, df: DataFrame, lo: float = 0.025, hi
     mean = sum((F.col(c) for c in cols), F.lit(0.0)) / k
     var = sum(((F.col(c) - mean) ** 2 for c in cols), F.lit(0.0)) / k
     return preds.select("product_id", mean.alias("prediction"), q(lo).alias("lower"), q(hi).alias("upper"),
-                        F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(1.0) - var)).alias("confidence"))
+                        F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(1.0) - var)).alias("confidence"), var.alias("tree_variance"))
+
+
+def forest_confidence(intervals: DataFrame) -> DataFrame:
+    """ONE number for the scored table: 1 less the mean over rows of the variance across trees, between 0 and 1."""
+    clipped = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(1.0) - F.avg("tree_variance")))
+    return intervals.agg(clipped.alias("confidence"), F.avg("tree_variance").alias("mean_tree_variance"), F.count(F.lit(1)).alias("rows"))
 
 
 def supplier_classifier(data: DataFrame, features: Sequence[str]) -> DataFrame:

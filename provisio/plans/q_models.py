@@ -3,6 +3,7 @@ from stand-in predictions (SQL-checked), and Spark ML training/scoring (rows-onl
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
@@ -16,6 +17,7 @@ from provisio.params import TASKS
 from provisio.plans.catalog import query
 from provisio.plans.oracle_base import with_ctes
 from provisio.session import checkpoint_dir, materialize
+from provisio.sources import registry
 
 
 def _enc_sql(c):
@@ -370,22 +372,44 @@ def _fit_forest(i, task):
     return mo.fit_candidate(df, cols, mo.CANDIDATES[5], sigma, n, None), df
 
 
+def _registry(i) -> str:
+    """The registry of this data folder.  Models are trained, selected and published if it has none yet."""
+    root = os.path.join(checkpoint_dir(i.spark), "registry", hashlib.sha256(i.sf_dir.encode()).hexdigest()[:16])
+    known = {r.task for r in registry.latest(i.spark, root).select("task").collect()}
+    if known != set(TASKS):
+        mo.publish_best(i.spark, i.ml_table, _leaderboard(i), root)
+    return root
+
+
 @query("score_products")
 def score_products(i):
-    """A saved-style pipeline (assemble, scale, forest) scores every product, per task."""
+    """The selected model of each task, loaded from the registry, scores every product; nothing is fitted if models are published."""
+    root = _registry(i)
     out = None
     for t in TASKS:
-        m, df = _fit_forest(i, t)
-        s = m.transform(df).select("product_id", F.lit(t).alias("task"), "prediction")
+        s = registry.score(i.spark, root, i.ml_table, t)
         out = s if out is None else out.unionByName(s)
     return out
 
 
+@query("model_registry")
+def model_registry(i):
+    """IO12: the published version of each task: model, columns, scaler, metrics and parameters, as read back."""
+    return registry.latest(i.spark, _registry(i), tuple(TASKS)).drop("path")
+
+
+@query("prediction_confidence")
+def prediction_confidence(i):
+    """The overall confidence of the stockout forest, from the mean variance across its trees."""
+    m, df = _fit_forest(i, "stockout_risk")
+    return mo.forest_confidence(mo.per_tree_interval(m, df))
+
+
 @query("prediction_intervals")
 def prediction_intervals(i):
     """95% interval and confidence from the forest's per-tree predictions."""
     m, df = _fit_forest(i, "stockout_risk")
-    return mo.per_tree_interval(m, df)
+    return mo.per_tree_interval(m, df).drop("tree_variance")
 
 
 @query("comprehensive_analysis")
@@ -433,31 +457,34 @@ def supplier_classifier(i):
 
 @query("model_roundtrip")
 def model_roundtrip(i):
-    """IO12: save the fitted pipeline to the shared folder, load it back, score again."""
-    from pyspark.ml import PipelineModel
-    m, df = _fit_forest(i, "delivery_performance")
-    path = os.path.join(checkpoint_dir(i.spark), "models", f"delivery_performance-{uuid.uuid4().hex}")
-    m.write().overwrite().save(path)
-    back = PipelineModel.load(path)
-    a = m.transform(df).select("product_id", F.col("prediction").alias("p1"))
-    b = back.transform(df).select("product_id", F.col("prediction").alias("p2"))
-    return a.join(b, "product_id").withColumn("same", F.col("p1") == F.col("p2"))
+    """IO12: each task's published pipeline loaded twice gives the same predictions, product by product."""
+    root = _registry(i)
+    out = None
+    for t in TASKS:
+        a = registry.score(i.spark, root, i.ml_table, t).select("product_id", "task", "model", F.col("prediction").alias("p1"))
+        b = registry.score(i.spark, root, i.ml_table, t).select("product_id", F.col("prediction").alias("p2"))
+        both = a.join(b, "product_id").withColumn("same", F.col("p1") == F.col("p2"))
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 @query("run_metrics")
 def run_metrics(i):
     """IO11: one row per trained model (all tasks, all candidates) with its parameters and seven metrics,
     appended to a run-metrics table, read back."""
-    lb = mo.model_leaderboard(i.spark, i.ml_table, schema=mo.RUN_SCHEMA)
-    path = os.path.join(checkpoint_dir(i.spark), "run_metrics", uuid.uuid4().hex)
-    lb.withColumn("run_id", F.expr("uuid()")).write.mode("append").parquet(path)
-    return i.spark.read.parquet(path)
+    run = uuid.uuid4().hex
+    lb = mo.model_leaderboard(i.spark, i.ml_table, schema=mo.RUN_SCHEMA, parallelism=4)
+    path = os.path.join(checkpoint_dir(i.spark), "run_metrics", hashlib.sha256(i.sf_dir.encode()).hexdigest()[:16])
+    lb.withColumn("run_id", F.expr("uuid()")).withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(path)
+    # all runs are in the table; this query returns its own
+    return i.spark.read.parquet(path).where(F.col("run") == run).drop("run")
 
 
 @query("eval_summary")
 def eval_summary(i):
-    """IO13: evaluation summary (task, r2, rmse, mae, readiness) written as CSV and read back."""
-    r = asx.model_readiness(_tm(i)).select("task", "r2", "rmse", "readiness_level")
+    """IO13: evaluation summary of the published models (task, r2, rmse, mae, readiness) written as CSV and read back."""
+    held = registry.latest(i.spark, _registry(i), tuple(TASKS))
+    r = held.select("task", "r2", "rmse", "mae", asx._readiness(F.col("r2"), F.col("rmse")).alias("readiness_level"))
     path = os.path.join(checkpoint_dir(i.spark), "eval_summary", uuid.uuid4().hex)
     r.write.mode("overwrite").option("header", True).csv(path)
     return i.spark.read.option("header", True).schema(r.schema).csv(path)
