@@ -73,38 +73,50 @@ def in_months(month, months) -> Column:
 _DECIMALS = 9
 
 
-def _exact_units(x: Column) -> Column:
-    """Aggregate: the exact sum in units of 10^-9, as decimal(38,0).
+def exact_parts(c) -> tuple[Column, Column]:
+    """Aggregates: the two longs whose sums are the exact sum of a column; they can be added up again over groups.
 
     Each row is split into its whole part and its fraction in 10^-9 units (what lies below is binary
     noise of a double), and both are summed as longs: fast, independent of the order, and far from
     overflow (which would raise under ANSI mode, not wrap)."""
-    x = x.cast("double")
+    x = col(c).cast("double")
     whole = F.floor(x)
-    unit = F.lit(float(10 ** _DECIMALS))
-    fraction = F.floor((x - whole) * unit + F.lit(0.5)).cast("long")
-    return (F.sum(whole.cast("long")).cast("decimal(38,0)") * F.lit(10 ** _DECIMALS).cast("decimal(10,0)")
-            + F.sum(fraction).cast("decimal(38,0)")).cast("decimal(38,0)")
+    fraction = F.floor((x - whole) * F.lit(float(10 ** _DECIMALS)) + F.lit(0.5)).cast("long")
+    return F.sum(whole.cast("long")), F.sum(fraction)
+
+
+def _units(whole: Column, fraction: Column) -> Column:
+    """The exact sum of two summed parts in units of 10^-9, as decimal(38,0)."""
+    return (whole.cast("decimal(38,0)") * F.lit(10 ** _DECIMALS).cast("decimal(10,0)") + fraction.cast("decimal(38,0)")).cast("decimal(38,0)")
+
+
+def sum_of_parts(whole: Column, fraction: Column) -> Column:
+    """Aggregate: the exact sum from its summed parts, as a double."""
+    return (_units(whole, fraction).cast("decimal(38,9)") / F.lit(10 ** _DECIMALS).cast("decimal(10,0)")).cast("double")
 
 
 def exact_sum(c) -> Column:
     """Aggregate: exact sum of a column, as a double; rows are not rounded before they are added."""
-    return (_exact_units(col(c)).cast("decimal(38,9)") / F.lit(10 ** _DECIMALS).cast("decimal(10,0)")).cast("double")
+    return sum_of_parts(*exact_parts(c))
 
 
-def mean_r4(c) -> Column:
-    """Aggregate: mean rounded half-even to 4 decimals, computed exactly.
+def mean_of_parts_r4(whole: Column, fraction: Column, n: Column) -> Column:
+    """Aggregate: mean rounded half-even to 4 decimals, computed exactly from the summed parts and the count.
 
-    The exact sum (``_exact_units``) is divided once per group with an integer half-even rule in
+    The exact sum is divided once per group with an integer half-even rule in
     decimal(38,0), so the result does not depend on summation order or on
     binary representation (a mean such as 54403.03625 sits exactly on a tie).
     """
-    x = col(c)
     # The rule names its inputs several times; as fields of one struct they are computed once per group.
-    once = F.array(F.struct((_exact_units(x) * F.lit(10000)).alias("m"), F.count(x).alias("n")))
+    once = F.array(F.struct((_units(whole, fraction) * F.lit(10000)).alias("m"), n.alias("n")))
     return F.element_at(F.transform(once, lambda s: _half_even(s["m"], s["n"])), 1)
 
 
+def mean_r4(c) -> Column:
+    """Aggregate: mean of a column rounded half-even to 4 decimals, computed exactly."""
+    return mean_of_parts_r4(*exact_parts(c), F.count(col(c)))
+
+
 def _half_even(m: Column, n: Column) -> Column:
     """``m`` / (``n`` x 10^9) rounded half-even to an integer, in units of 10^-4; NULL for ``n`` = 0."""
     d = n.cast("decimal(19,0)") * F.lit(10 ** _DECIMALS).cast("decimal(10,0)")
