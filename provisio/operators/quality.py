@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from provisio.operators.explore import numeric_columns
@@ -76,27 +76,56 @@ def dq_negatives(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows, columns, duplicates and missing values of each table from ONE scan of it.
+
+    Equal rows are counted first (partial in each task, then by the whole row, so a row that a third of the table
+    repeats is one row per task), and everything else is weighted by these counts."""
+    out = None
+    for name, df in tables.items():
+        floating = {c for c, t in df.dtypes if t in ("double", "float")}
+        missing = [F.sum(F.when((F.col(c).isNull() | F.isnan(c)) if c in floating else F.col(c).isNull(), F.col("_c")).otherwise(0)).alias(f"_m{k}")
+                   for k, c in enumerate(df.columns)]
+        row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c")).agg(
+            F.coalesce(F.sum("_c"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicates"), *missing)
+        each = [F.coalesce(F.col(f"_m{k}"), F.lit(0)) for k in range(len(df.columns))]
+        r = row.select(F.lit(name).alias("dataset"), "rows", F.lit(len(df.columns)).alias("columns"), "duplicates",
+                       sum(each, F.lit(0)).cast("long").alias("missing_values"), F.array_max(F.array(*each)).alias("max_missing"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def lineage(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Q5, U4, IO7: per-dataset quality summary unioned, with the total record count."""
-    rep = dq_report(tables)
-    miss = dq_missing(tables).groupBy("dataset").agg(F.sum("missing").alias("missing_values"))
-    dup = dq_duplicates(tables).select("dataset", "duplicates")
-    per = rep.join(miss, "dataset").join(dup, "dataset")
-    total = per.select(F.sum("rows")).scalar()
-    return (per.withColumn("total_records", total)
+    everything = Window.partitionBy(F.lit(0))       # one row a table
+    return (profile(tables).drop("max_missing").withColumn("total_records", F.sum("rows").over(everything))
             .withColumn("datasets", F.lit(len(tables)))
             .withColumn("status", F.lit("completed")))
 
 
+#: how the lineage of one run is nested in its JSON document
+LINEAGE_DOCUMENT = ("status string, total_records long, datasets int, "
+                    "quality array<struct<dataset:string,rows:long,columns:int,duplicates:long,missing_values:long>>")
+
+
+def lineage_document(found: DataFrame) -> DataFrame:
+    """IO7: one JSON document of all tables' quality (``document``), from the rows of ``lineage``."""
+    each = F.struct("dataset", "rows", "columns", "duplicates", "missing_values")
+    whole = found.groupBy("status", "total_records", "datasets").agg(F.sort_array(F.collect_list(each)).alias("quality"))
+    return whole.select(F.to_json(F.struct("status", "total_records", "datasets", "quality")).alias("document"))
+
+
+def lineage_rows(documents: DataFrame) -> DataFrame:
+    """The rows of ``lineage`` from its JSON documents."""
+    read = documents.select(F.from_json("document", LINEAGE_DOCUMENT).alias("d")).select("d.*")
+    return read.select("status", "total_records", "datasets", F.explode("quality").alias("q")).select("q.*", "total_records", "datasets", "status")
+
+
 def dq_gate(tables: Mapping[str, DataFrame], max_missing_pct: float = MAX_MISSING_PCT,
             max_duplicate_pct: float = MAX_DUPLICATE_PCT) -> DataFrame:
     """Q11 (declared): missing share per column <= 20%, duplicate rows <= 5% per table."""
-    miss = dq_missing(tables).groupBy("dataset").agg(F.max("missing").alias("max_missing"))
-    rep = dq_report(tables)
-    dup = dq_duplicates(tables).select("dataset", "duplicates")
-    j = rep.join(miss, "dataset").join(dup, "dataset")
-    return (j.withColumn("max_missing_pct", F.col("max_missing") / F.col("rows") * 100.0)
-            .withColumn("duplicate_pct", F.col("duplicates") / F.col("rows") * 100.0)
+    return (profile(tables).withColumn("max_missing_pct", F.try_divide(F.col("max_missing"), F.col("rows")) * 100.0)
+            .withColumn("duplicate_pct", F.try_divide(F.col("duplicates"), F.col("rows")) * 100.0)
             .withColumn("passed", (F.col("max_missing_pct") <= max_missing_pct)
                         & (F.col("duplicate_pct") <= max_duplicate_pct))
             .select("dataset", "rows", "max_missing_pct", "duplicate_pct", "passed"))
@@ -118,19 +147,19 @@ def range_violations(df: DataFrame, rules: Sequence[tuple[str, float | None, flo
 
 
 def dq_range_rules(tables: Mapping[str, DataFrame], rules=RANGE_RULES) -> DataFrame:
-    """Q12 (declared): counts of rows outside the declared ranges per table and column."""
+    """Q12 (declared): counts of rows outside the declared ranges per table and column; one scan of a table for all its rules."""
     out = None
     for name, df in tables.items():
+        bad = []
         for c, lo, hi in rules.get(name, []):
-            x = F.col(c)
-            bad = F.lit(False)
-            if lo is not None:
-                bad = bad | (x < lo)
-            if hi is not None:
-                bad = bad | (x > hi)
-            r = df.agg(F.count_if(bad).alias("violations"), F.count(F.lit(1)).alias("rows")).select(
-                F.lit(name).alias("dataset"), F.lit(c).alias("column"), "violations", "rows")
-            out = r if out is None else out.unionByName(r)
+            low = F.col(c) < lo if lo is not None else F.lit(False)
+            bad.append((c, low | (F.col(c) > hi) if hi is not None else low))
+        if not bad:
+            continue
+        row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(b).alias(f"_v{k}") for k, (_, b) in enumerate(bad)])
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_v{k}").alias("violations")) for k, (c, _) in enumerate(bad)]))
+        r = row.select("rows", each.alias("v")).select(F.lit(name).alias("dataset"), "v.column", "v.violations", "rows")
+        out = r if out is None else out.unionByName(r)
     return out
 
 

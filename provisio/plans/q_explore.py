@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from itertools import combinations
 
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from provisio.operators import policy as po
 from provisio.operators import quality as dq
 from provisio.plans.catalog import query
 from provisio.plans.oracle_base import with_ctes
+from provisio.session import checkpoint_dir
 from provisio.sources.tables import scan
 
 RAW_ORDER_COLS = ["order_id", "product_id", "supplier_id", "department", "order_year", "order_month",
@@ -126,6 +129,14 @@ def lineage(i):
     return dq.lineage(_tables(i))
 
 
+@query("lineage_json", _wq(_lineage_sql()))
+def lineage_json(i):
+    """IO7: the lineage of all ingested tables written as one JSON document, read back and flattened."""
+    path = os.path.join(checkpoint_dir(i.spark), "lineage", uuid.uuid4().hex)
+    dq.lineage_document(dq.lineage(_tables(i))).write.text(path)
+    return dq.lineage_rows(i.spark.read.text(path).withColumnRenamed("value", "document"))
+
+
 def _gate_sql():
     rows = _union([f"SELECT '{n}' AS dataset, count(*) AS rows FROM {t}" for n, (t, cols) in TABLE_SQL.items()])
     miss = f"SELECT dataset, max(missing) AS max_missing FROM ({_missing_sql()}) GROUP BY dataset"
