@@ -262,40 +262,60 @@ def action_plan(scored: DataFrame, k: int | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- decisions and orders
 
-def procurement_decisions(products: DataFrame, scored: DataFrame, ranked_suppliers: DataFrame,
-                          p: CycleParams = CycleParams(), k: int | None = None) -> DataFrame:
-    """Urgent items, then high-risk items not already urgent; quantity up to maximum
-    stock, best supplier (or the default), justification text.  ``k`` limits the urgent items to the
-    first k; by default every Critical/High item is decided.
+# The reasons an order gives.
+_IMMEDIATE, _RISK, _PRIORITY = "Immediate action required", "High stockout risk predicted", "High procurement priority"
+_BELOW, _STANDARD = "Below minimum stock level (", "Standard reorder"
 
-    Deviation (J9): the reference maps a prediction row to a product by its
-    position (off by one); here the product key is joined."""
-    urgent = urgent_items(scored, k).select("product_id", F.col("priority_pred").alias("ai_score"),
-                                           F.lit("priority").alias("source"))
-    risky = (high_risk_scored(scored, p).join(urgent.select("product_id"), "product_id", "left_anti")
-             .select("product_id", F.col("risk_pred").alias("ai_score"), F.lit("risk").alias("source")))
-    items = urgent.unionByName(risky)
+
+def _decide(items: DataFrame, products: DataFrame, ranked_suppliers: DataFrame, urgency: str, p: CycleParams) -> DataFrame:
+    """A decision for each item (product_id, ai_score, source): quantity, best supplier (or the default) and reasons.
+
+    Immediate orders fill up to the maximum stock, scheduled ones to twice the minimum."""
     prod = products.select("product_id", "name", "current_stock", "min_stock_level", "max_stock_level",
                            "unit_cost", "supplier_ids")
     d = items.join(prod, "product_id").join(best_supplier(prod, ranked_suppliers), "product_id", "left")
-    qty = F.greatest(F.lit(0), F.col("max_stock_level") - F.col("current_stock")).cast("long")
+    level = F.col("max_stock_level") if urgency == "immediate" else F.col("min_stock_level") * 2
+    qty = F.greatest(F.lit(0), level - F.col("current_stock")).cast("long")
     price = F.col("unit_cost").cast(MONEY)
     reasons = F.concat_ws("; ",
-                          F.lit("Immediate action required"),
+                          F.lit(_IMMEDIATE if urgency == "immediate" else None),
                           F.when(F.col("current_stock") < F.col("min_stock_level"),
-                                 F.concat(F.lit("Below minimum stock level ("),
-                                          F.col("min_stock_level").cast("string"), F.lit(")"))),
-                          F.when((F.col("source") == "risk") & (F.col("ai_score") > 0.7),
-                                 F.lit("High stockout risk predicted")),
-                          F.when((F.col("source") == "priority") & (F.col("ai_score") > 70),
-                                 F.lit("High procurement priority")))
+                                 F.concat(F.lit(_BELOW), F.col("min_stock_level").cast("string"), F.lit(")"))),
+                          F.when((F.col("source") == "risk") & (F.col("ai_score") > 0.7), F.lit(_RISK)),
+                          F.when((F.col("source") == "priority") & (F.col("ai_score") > 70), F.lit(_PRIORITY)))
     return d.select(
         "product_id", F.col("name").alias("product_name"),
         F.coalesce(F.col("supplier_id").cast("string"), F.lit(p.default_supplier)).alias("supplier_id"),
         F.coalesce(F.col("supplier_name"), F.lit("Default Supplier")).alias("supplier_name"),
         qty.alias("order_quantity"), price.alias("unit_price"), (qty * price).cast(MONEY).alias("total_amount"),
-        F.lit("immediate").alias("urgency"), "ai_score", "source",
-        reasons.alias("justification"))
+        F.lit(urgency).alias("urgency"), "ai_score", "source",
+        F.when(reasons == "", _STANDARD).otherwise(reasons).alias("justification"))
+
+
+def procurement_decisions(products: DataFrame, scored: DataFrame, ranked_suppliers: DataFrame,
+                          p: CycleParams = CycleParams(), k: int | None = None) -> DataFrame:
+    """Urgent items, then high-risk items not already urgent; quantity up to maximum
+    stock, best supplier (or the default), justification text.  ``k`` limits the urgent items to the
+    first k; by default every Critical/High item is decided.
+
+    Deviation (J9): the reference maps a prediction row to a product by its
+    position (off by one); here the product key is joined."""
+    urgent = urgent_items(scored, k).select("product_id", F.col("priority_pred").alias("ai_score"),
+                                           F.lit("priority").alias("source"))
+    risky = (high_risk_scored(scored, p).join(urgent.select("product_id"), "product_id", "left_anti")
+             .select("product_id", F.col("risk_pred").alias("ai_score"), F.lit("risk").alias("source")))
+    return _decide(urgent.unionByName(risky), products, ranked_suppliers, "immediate", p)
+
+
+def scheduled_decisions(products: DataFrame, scored: DataFrame, ranked_suppliers: DataFrame, immediate: DataFrame,
+                        p: CycleParams = CycleParams()) -> DataFrame:
+    """The items of next week's schedule bucket (S9) that are not ordered at once, up to twice their minimum stock.
+
+    An item whose stock is there already is not ordered."""
+    items = (scored.where(priority_level("priority_pred") == "Medium")
+             .select("product_id", F.col("priority_pred").alias("ai_score"), F.lit("priority").alias("source"))
+             .join(immediate.select("product_id"), "product_id", "left_anti"))
+    return _decide(items, products, ranked_suppliers, "scheduled", p).where("order_quantity > 0")
 
 
 def procurement_orders(decisions: DataFrame, cycle_time: datetime = DEFAULT_CYCLE_TIME,

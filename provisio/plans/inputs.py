@@ -1,6 +1,7 @@
 """Lazily built, shared DataFrames for one (session, data folder).
 
-Nothing here runs a job: each property only builds a logical plan.
+A property builds a logical plan, except ``policy_table`` and ``ml_table`` and what is derived from ranks: these are written to the
+shared folder when they are first used, and that runs jobs.
 """
 
 from __future__ import annotations
@@ -86,6 +87,10 @@ class Inputs:
     def decisions(self) -> DataFrame:
         return cy.procurement_decisions(self.products, self.scored, self.ranked_suppliers)
 
+    @cached_property
+    def scheduled(self) -> DataFrame:
+        return cy.scheduled_decisions(self.products, self.scored, self.ranked_suppliers, self.decisions)
+
     @cached_property
     def orders_out(self) -> DataFrame:
         return cy.procurement_orders(self.decisions)

@@ -71,6 +71,20 @@ decisions AS (
            AS justification,
          p.current_stock, p.min_stock_level
   FROM items i JOIN v_products p ON i.product_id = p.product_id LEFT JOIN bsup b ON i.product_id = b.product_id),
+scheduled AS (
+  SELECT i.product_id, p.name AS product_name,
+         COALESCE(CAST(b.supplier_id AS VARCHAR), 'DEFAULT') AS supplier_id,
+         COALESCE(b.supplier_name, 'Default Supplier') AS supplier_name,
+         CAST(greatest(0, p.min_stock_level * 2 - p.current_stock) AS BIGINT) AS order_quantity,
+         CAST(p.unit_cost AS DECIMAL(18,4)) AS unit_price,
+         CAST(CAST(greatest(0, p.min_stock_level * 2 - p.current_stock) AS BIGINT) * CAST(p.unit_cost AS DECIMAL(18,4))
+              AS DECIMAL(18,4)) AS total_amount,
+         'scheduled' AS urgency, i.priority_pred AS ai_score, 'priority' AS source,
+         CASE WHEN p.current_stock < p.min_stock_level
+              THEN 'Below minimum stock level (' || CAST(p.min_stock_level AS VARCHAR) || ')' ELSE 'Standard reorder' END AS justification
+  FROM scored i JOIN v_products p ON i.product_id = p.product_id LEFT JOIN bsup b ON i.product_id = b.product_id
+  WHERE i.priority_pred > 40 AND i.priority_pred <= 60 AND i.product_id NOT IN (SELECT product_id FROM decisions)
+    AND p.min_stock_level * 2 > p.current_stock),
 porders AS (
   SELECT 'PO_20240131_080000_' || CAST(product_id AS VARCHAR) AS order_id, product_id, supplier_id,
          order_quantity AS quantity, unit_price, total_amount, 'critical' AS priority, 'pending' AS status,
@@ -352,6 +366,38 @@ def procurement_orders(i):
     return _orders_df(i)
 
 
+def _decisions_df(d):
+    return d.select("product_id", "product_name", "supplier_id", "supplier_name", "order_quantity", money("unit_price"),
+                    money("total_amount"), "urgency", "ai_score", "source", "justification")
+
+
+@query("scheduled_decisions", _wc(f"SELECT {DEC_COLS} FROM scheduled"))
+def scheduled_decisions(i):
+    """The second phase: next week's bucket, up to twice the minimum stock."""
+    return _decisions_df(i.scheduled)
+
+
+@query("automated_orders", _wc(
+    "SELECT 'PO_20240131_080000_' || CAST(product_id AS VARCHAR) AS order_id, product_id, supplier_id, order_quantity AS quantity, "
+    "CAST(total_amount AS DOUBLE) AS total_amount, CASE urgency WHEN 'immediate' THEN 'critical' ELSE 'high' END AS priority, justification "
+    "FROM (SELECT product_id, supplier_id, order_quantity, total_amount, urgency, justification FROM decisions "
+    "UNION ALL SELECT product_id, supplier_id, order_quantity, total_amount, urgency, justification FROM scheduled)"))
+def automated_orders(i):
+    """Immediate and scheduled orders together, critical and high."""
+    both = i.decisions.unionByName(i.scheduled)
+    orders = cy.procurement_orders(both).join(both.select("product_id", "justification"), "product_id")
+    return orders.select("order_id", "product_id", "supplier_id", "quantity", money("total_amount"), "priority", "justification")
+
+
+@query("savings_of_all_orders", _wc(
+    "SELECT count(*) AS orders, CAST(COALESCE(sum(total_amount), 0) AS DOUBLE) AS total_value, "
+    "CAST(COALESCE(sum(total_amount), 0) * 0.05 AS DOUBLE) AS savings_potential "
+    "FROM (SELECT total_amount FROM decisions UNION ALL SELECT total_amount FROM scheduled)"))
+def savings_of_all_orders(i):
+    """Savings potential over both phases."""
+    return cy.savings_potential(i.decisions, i.scheduled)
+
+
 @query("savings_potential", _wc(
     "SELECT count(*) AS orders, CAST(COALESCE(sum(total_amount), 0) AS DOUBLE) AS total_value, "
     "CAST(COALESCE(sum(total_amount), 0) * 0.05 AS DOUBLE) AS savings_potential FROM decisions"))
