@@ -50,6 +50,22 @@ def load_or_derive(i, path):
     return sinks.read_table(i.spark, path)
 
 
+@query("sink_ingested", _wc(
+    "SELECT 'orders' AS dataset, count(*) AS rows, CAST(sum(qty) AS DOUBLE) AS total FROM v_orders "
+    "UNION ALL SELECT 'inventory', count(*), CAST(sum(inventory) AS DOUBLE) FROM inv_month "
+    "UNION ALL SELECT 'fulfillment', count(*), CAST(sum(fulfillment_days) AS DOUBLE) FROM fulfil"))
+def sink_ingested(i):
+    """IO5: the three ingested tables written as CSV files and read back with their schemas; rows and a checksum of each."""
+    out = None
+    for name, df, c in (("orders", i.orders, "qty"), ("inventory", i.inventory, "inventory"), ("fulfillment", i.fulfillment, "fulfillment_days")):
+        p = _path(i, name)
+        sinks.write_table(df, p, "csv")
+        back = sinks.read_table(i.spark, p, "csv", schema=df.schema)
+        r = back.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(c).cast("double")).alias("total")).select(F.lit(name).alias("dataset"), "rows", "total")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 @query("load_features", with_ctes(f"SELECT {', '.join(fe.FEATURE_COLUMNS)} FROM features"))
 def load_features(i):
     """IO4: the first call finds no table, derives it from the inputs and stores it; the second loads it."""
@@ -60,9 +76,10 @@ def load_features(i):
 
 def _append_twice(i, df, key, name):
     p = _path(i, name)
-    sinks.append_with_key(i.spark, df, p, key)
-    sinks.append_with_key(i.spark, df, p, key)   # a re-run must not duplicate rows
-    return i.spark.read.parquet(p)
+    day = F.regexp_extract(key, r"_(\d{8})_", 1)     # every key names its cycle
+    sinks.append_with_key(i.spark, df, p, key, day)
+    sinks.append_with_key(i.spark, df, p, key, day)   # a re-run must not duplicate rows
+    return i.spark.read.parquet(p).drop("_part")
 
 
 @query("orders_append", _wc(f"SELECT {ORDER_COLS} FROM porders"))
@@ -95,15 +112,16 @@ def negotiations_append(i):
 @query("sink_formats", _wc(
     "SELECT supplier_id, name, pricing_tier, overall_score FROM sscore"))
 def sink_formats(i):
-    """IO15 (declared): the same table as gzip CSV and gzip JSON; the JSON copy is read back and
-    must equal the CSV copy."""
+    """IO15 (declared): the same table as gzip CSV and gzip JSON; both copies are read back and a row is
+    returned as often as both have it; a copy that lacks a row or has another is an error."""
     df = i.scored_suppliers.select("supplier_id", "name", "pricing_tier", "overall_score")
     pc, pj = _path(i, "csv"), _path(i, "json")
     sinks.write_table(df, pc, "csv", compression="gzip")
     sinks.write_table(df, pj, "json", compression="gzip")
     c = sinks.read_table(i.spark, pc, "csv", schema=df.schema)
     j = sinks.read_table(i.spark, pj, "json", schema=df.schema)
-    return c.intersect(j)
+    apart = c.exceptAll(j).unionAll(j.exceptAll(c))
+    return c.unionAll(apart.select("supplier_id", F.raise_error(F.lit("the copies differ")).alias("name"), "pricing_tier", "overall_score"))
 
 
 @query("dev_sample", with_ctes(f"SELECT {', '.join(POLICY_ALL)} FROM policy ORDER BY product_id LIMIT 1000"))

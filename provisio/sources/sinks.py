@@ -1,8 +1,9 @@
 """Sinks: feature tables, operational tables with primary keys, formats (IO5-IO10, IO15-IO16).
 
 Operational tables (orders, alerts, negotiations) are append-only parquet
-folders; a primary key is enforced by anti-joining the incoming rows against
-the keys already stored, so re-running a cycle never duplicates rows.
+folders, one folder per cycle date; a primary key is enforced by anti-joining the incoming rows against
+the keys already stored in the folders that they belong to, so re-running a cycle never duplicates rows.  One writer at a time
+is assumed, as one cycle runs at a time: the check and the append are two steps.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import os
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,18 +44,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def append_with_key(spark: SparkSession, df: DataFrame, path: str, key: str) -> None:
+MAX_PARTITIONS_NAMED = 1000
+
+
+def append_with_key(spark: SparkSession, df: DataFrame, path: str, key: str, partition: Column | None = None) -> None:
     """IO8-IO10: append rows whose key is not stored yet (PRIMARY KEY semantics).
 
-    The stored keys are read as one column and anti-joined (shuffle join on the
-    key), and the incoming batch is de-duplicated on the key first."""
+    The incoming batch is de-duplicated on the key first.  ``partition`` (an expression of the key alone, such as the cycle
+    date in it) is the folder that a row is stored in, as column ``_part``: equal keys share it, so only the folders that the batch
+    touches are read for the anti-join (``PartitionFilters``).  Without it, all stored keys are read as one column."""
     # rows that share a key: the least one by its other columns, so that the choice does not depend on the order
     rest = [c for c in df.columns if c != key]
     incoming = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*").select(df.columns)
+    if partition is not None:
+        incoming = incoming.withColumn("_part", partition)
     if path_exists(spark, path):
-        stored = spark.read.parquet(path).select(key)
-        incoming = incoming.join(stored, key, "left_anti")
-    incoming.write.mode("append").parquet(path)
+        incoming = incoming.join(stored_keys(spark, path, key, incoming), key, "left_anti")
+    w = incoming.write.mode("append")
+    (w.partitionBy("_part") if partition is not None else w).parquet(path)
+
+
+def stored_keys(spark: SparkSession, path: str, key: str, incoming: DataFrame) -> DataFrame:
+    """The stored keys that rows of ``incoming`` can equal: those of its folders, if the table has folders."""
+    if "_part" not in incoming.columns:
+        return spark.read.parquet(path).select(key)
+    stored = spark.read.schema(incoming.select(key, "_part").schema).parquet(path)
+    parts = [r[0] for r in incoming.select("_part").distinct().limit(MAX_PARTITIONS_NAMED + 1).collect()]
+    return (stored.where(F.col("_part").isin(parts)) if len(parts) <= MAX_PARTITIONS_NAMED else stored).select(key)
 
 
 def dev_sample(df: DataFrame, n: int, key: str) -> DataFrame:

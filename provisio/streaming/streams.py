@@ -7,8 +7,8 @@ dropped all the same are counted, and ``run_to_table`` fails rather than return
 
 The reference polls on a schedule and receives webhooks; here the same work
 is event-time windows with watermarks, stream-static joins and streaming
-aggregations.  ``run_to_table`` drives a query with ``availableNow`` into an
-append-only parquet table of per-batch updates (``update`` output mode) and
+aggregations.  ``run_to_table`` drives a query with ``availableNow`` into a
+parquet table with one folder of updates per batch (``update`` output mode; a repeated batch replaces its folder) and
 reads back the last version of every key, so windows that are still open
 when the input ends are reported too and nothing is collected on the driver.
 """
@@ -16,11 +16,14 @@ when the input ends are reported too and nothing is collected on the driver.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
+from collections import Counter, defaultdict
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from provisio.session import checkpoint_dir
 from provisio.sources.sinks import path_exists
@@ -111,23 +114,53 @@ def dedup_late(upd: DataFrame, keys: Sequence[str] = ("event_id",), delay: str =
     return upd.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def run_to_table(df: DataFrame, keys: Sequence[str], mode: str = "update", name: str | None = None) -> DataFrame:
-    """Run a streaming DataFrame to completion (availableNow) and return the final state per key.
+class _LateRows(StreamingQueryListener):
+    """Rows that the watermark dropped, added up over every batch of each run (a query itself keeps its last 100 only)."""
+
+    def __init__(self):
+        self.dropped: Counter = Counter()
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.dropped[str(event.progress.runId)] += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
 
-    Each micro-batch appends its changed rows with the batch id to a parquet
-    table in the shared checkpoint folder; the last version of every key wins.  Without ``keys`` the rows are
-    returned as they were emitted.  Fails if the watermark dropped rows."""
-    spark = df.sparkSession
-    base = os.path.join(checkpoint_dir(spark), "streams", f"{name or 'q'}-{uuid.uuid4().hex}")
-    out, ck = os.path.join(base, "out"), os.path.join(base, "checkpoint")
 
+def batch_sink(out: str):
+    """A ``foreachBatch`` function that commits each batch once: a batch owns the folder of its id, and a batch
+    that is repeated after a failure replaces what it wrote before."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"_batch={batch_id}"))
 
-    q = (df.writeStream.outputMode(mode).option("checkpointLocation", ck).foreachBatch(sink)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    late = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    return sink
+
+
+def run_to_table(df: DataFrame, keys: Sequence[str], mode: str = "update", name: str | None = None, base: str | None = None) -> DataFrame:
+    """Run a streaming DataFrame to completion (availableNow) and return the final state per key.
+
+    Each micro-batch writes its changed rows to a folder of its own in the shared checkpoint folder; the last
+    version of every key wins.  Without ``keys`` the rows are returned as they were emitted.  With ``base`` (a folder) a run goes on
+    where an earlier one ended or failed.  Fails if the watermark dropped rows."""
+    spark = df.sparkSession
+    base = base or os.path.join(checkpoint_dir(spark), "streams", f"{name or 'q'}-{uuid.uuid4().hex}")
+    out, ck = os.path.join(base, "out"), os.path.join(base, "checkpoint")
+    listener = _LateRows()
+    spark.streams.addListener(listener)
+    try:
+        q = (df.writeStream.outputMode(mode).option("checkpointLocation", ck).foreachBatch(batch_sink(out))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        # events come in order and a little later: all progress is known when the end is
+        if not listener.ended[str(q.runId)].wait(120):
+            raise RuntimeError("the end of the stream was not reported, so late rows may not be counted")
+    finally:
+        spark.streams.removeListener(listener)
+    late = listener.dropped[str(q.runId)]
     if late:
         raise RuntimeError(f"{late} rows were later than the watermark allows; give a longer delay")
     if not path_exists(spark, out):
