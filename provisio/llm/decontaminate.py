@@ -57,28 +57,34 @@ def item_windows(items: DataFrame, n: int = N, id_col: str = "item_id", text_col
 
 
 def hits(docs: DataFrame, windows: DataFrame, max_windows: int = MAX_WINDOWS,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
     """(id, text_key, spans, items) of every document with a verified hit.
 
     ``spans``: distinct (at, size) in word positions; ``items``: the distinct item ids.
-    ``text_key`` tells rows apart that share an id."""
+    ``text_key`` tells rows apart that share an id.  With ``every``, documents without a hit are there too (arrays are
+    empty), and ``n_words`` and ``n_rows`` (rows equal in id and text) of each, from the same scan."""
     windows = windows.withColumn("part_hash", F.xxhash64("window"))
     sizes = {r["size"]: r["pairs"] for r in windows.groupBy("size").agg(F.count(F.lit(1)).alias("pairs")).collect()}
     parts = max(1, -(-sum(sizes.values()) // max_windows))
     text = F.col(text_col).cast("string")
     split = (docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), words(text).alias("w"))
-             .where(F.size("w") >= (min(sizes) if sizes else 1))
+             .where(F.lit(every) | (F.size("w") >= (min(sizes) if sizes else 1)))
              .select("id", "text_key", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("h")))
-    at = split.select("id", "text_key", "w", "h", F.posexplode("h").alias("at", "first"))
+    # With ``every``, one place after the last word stands for the document itself; no window begins there.
+    starts = F.concat("h", F.array(F.lit(0).cast("long"))) if every else F.col("h")
+    at = split.select("id", "text_key", "w", "h", F.posexplode(starts).alias("at", "first"))
+    itself = F.lit(every) & (F.col("at") == F.size("h"))
     keys = F.array(*[F.struct(F.lit(s).alias("size"),
                               F.when(F.col("at") + s <= F.size("h"), _key(F.col("h"), F.col("at"), s)).alias("key"))
                      for s in sorted(sizes)]) if sizes else F.array().cast("array<struct<size:int,key:bigint>>")
     if len(sizes) == 1:
         size = next(iter(sizes))
-        probes = at.where(F.col("at") + size <= F.size("h")).withColumn("key", _key(F.col("h"), F.col("at"), size))
+        whole = F.col("at") + size <= F.size("h")
+        probes = at.where(whole | itself).withColumn("key", F.when(whole, _key(F.col("h"), F.col("at"), size)) if every else _key(F.col("h"), F.col("at"), size))
     else:
-        probes = at.select("*", F.explode(keys).alias("probe")).select("id", "text_key", "w", "at", F.col("probe.key").alias("key")) \
-            .where(F.col("key").isNotNull())
+        own = F.array(F.struct(F.lit(0).alias("size"), F.lit(None).cast("long").alias("key")))
+        probes = at.select("*", F.explode(F.when(itself, own).otherwise(keys) if every else keys).alias("probe")) \
+            .select("id", "text_key", "w", "h", "at", F.col("probe.key").alias("key")).where(F.col("key").isNotNull() | itself)
     known = windows.groupBy("part_hash", "size", "window").agg(F.collect_set("item").alias("items"))
     hashed = known.withColumn("wh", F.transform("window", lambda x: F.xxhash64(x)))
     key = reduce(lambda c, s: F.when(F.col("size") == s, _key(F.col("wh"), 0, s)).otherwise(c), sorted(sizes), F.lit(None).cast("long"))
@@ -88,13 +94,18 @@ def hits(docs: DataFrame, windows: DataFrame, max_windows: int = MAX_WINDOWS,
 
     def probe(part: int) -> DataFrame:
         side = known.where(F.pmod("part_hash", F.lit(parts)) == part) if parts > 1 else known
-        return (probes.join(F.broadcast(side), F.col("key") == F.col("known_key")).where(same)
-                .select("id", "text_key", F.struct(F.col("at"), F.col("size")).alias("span"), "items"))
+        hit = (F.col("key") == F.col("known_key")) & same
+        span = F.struct(F.col("at"), F.col("size")).alias("span")
+        if not every or part:
+            return probes.join(F.broadcast(side), hit).select("id", "text_key", span, "items", F.lit(None).cast("int").alias("n_words"))
+        return (probes.join(F.broadcast(side), hit, "left").where(F.col("known_key").isNotNull() | itself)
+                .select("id", "text_key", F.when(F.col("known_key").isNotNull(), span).alias("span"), "items", F.when(itself, F.size("w")).alias("n_words")))
 
     found = reduce(DataFrame.unionAll, [probe(p) for p in range(parts)])
+    counts = [F.max("n_words").cast("long").alias("n_words"), F.count("n_words").alias("n_rows")] if every else []
     return found.groupBy("id", "text_key").agg(
         F.sort_array(F.collect_set("span")).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), *counts)
 
 
 def text_key(text: Column) -> Column:
@@ -125,17 +136,9 @@ def _matched(docs: DataFrame, items: DataFrame, n: int, max_windows: int, id_col
 def report(docs: DataFrame, items: DataFrame, n: int = N, max_windows: int = MAX_WINDOWS,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, spans, items (arrays, empty without a hit), n_hit, contaminated."""
-    text = F.col(text_col).cast("string")
-    found = hits(docs, item_windows(items, n), max_windows, id_col, text_col)
-    counted = docs.select(F.col(id_col).alias("own_id"), text_key(text).alias("own_key"),
-                          F.coalesce(F.regexp_count(text, F.lit(WORD_ANY_CASE + "+")), F.lit(0)).cast("long").alias("n_words"))
-    both = counted.join(found, counted.own_id.eqNullSafe(found.id) & (counted.own_key == found.text_key), "left")
-    n_hit = F.when(F.col("spans").isNull(), F.lit(0).cast("long")).otherwise(covered(F.col("spans")))
-    return (both.withColumn("n_hit", n_hit)
-            .select(F.col("own_id").alias(id_col), "n_words", "n_hit",
-                    F.coalesce("items", F.array().cast(found.schema["items"].dataType)).alias("items"),
-                    F.coalesce("spans", F.array().cast(found.schema["spans"].dataType)).alias("spans"),
-                    (F.col("n_hit") > 0).alias("contaminated")))
+    found = hits(docs, item_windows(items, n), max_windows, id_col, text_col, every=True)
+    rows = found.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows")))).withColumn("n_hit", covered(F.col("spans")))
+    return rows.select(F.col("id").alias(id_col), "n_words", "n_hit", "items", "spans", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def remove(docs: DataFrame, items: DataFrame, what: str = "documents", n: int = N, max_windows: int = MAX_WINDOWS,
