@@ -36,39 +36,104 @@ CONTAINMENT = 0.75
 BANDS = 32
 MAX_TEMPLATE_WORDS = 1_000_000
 
-#: fixed values: short notices and standard headers of common licenses
+#: fixed values: notices, standard headers and passages of common licenses; a license may have several wordings
 TEMPLATES = {
     "mit-notice": "Released under the MIT License.",
+    "mit-notice-licensed": "Licensed under the MIT License.",
+    "mit-notice-distributed": "Distributed under the MIT License.",
+    "mit-notice-terms": "under the terms of the MIT License.",
+    "mit-notice-an": "licensed under an MIT license.",
+    "mit-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                      "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+                      "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+                      "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+                      "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+                      "substantial portions of the Software.",
+    "mit-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+                    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+                    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+                    "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE "
+                    "SOFTWARE.",
+    "isc-permission": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+                      "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+                    "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+                    "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+                    "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE "
+                    "OR PERFORMANCE OF THIS SOFTWARE.",
+    "bsd-notice": "Redistributed under the BSD License.",
+    "bsd-notice-licensed": "Licensed under the BSD License.",
+    "bsd-style-notice": "use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "bsd-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+                      "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
+                      "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+                      "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+                      "materials provided with the distribution.",
+    "bsd-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                       "products derived from this software without specific prior written permission.",
+    "bsd-warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+                    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+                    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+                    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+                    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+                    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+                    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
-    "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
-                      "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "apache-2.0-notice-released": "Released under the Apache License 2.0.",
+    "apache-2.0-notice-short": "licensed under the Apache 2.0 license.",
     "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                          "compliance with the License. You may obtain a copy of the License at "
                          "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
                          "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
                          "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
                          "permissions and limitations under the License.",
+    "apache-2.0-title": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+                        "REPRODUCTION, AND DISTRIBUTION",
+    "gpl-2.0-notice": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-notice-released": "Released under the GNU General Public License.",
+    "gpl-notice-terms": "under the terms of the GNU General Public License",
+    "gpl-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                      "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+                      "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
+                      "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+                      "GNU General Public License for more details.",
     "gpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                       "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
                       "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
                       "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
                       "GNU General Public License for more details.",
-    "mit-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-                      "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
-                      "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
-                      "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
-                      "conditions: The above copyright notice and this permission notice shall be included in all copies or "
-                      "substantial portions of the Software.",
-    "bsd-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-                      "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
-                      "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
-                      "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
-                      "materials provided with the distribution.",
+    "gpl-3.0-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is "
+                     "permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    "lgpl-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                       "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+                       "your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY "
+                       "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+                       "Lesser General Public License for more details.",
+    "lgpl-notice-terms": "under the terms of the GNU Lesser General Public License",
+    "agpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                       "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+                       "your option) any later version.",
+    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+                      "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-4.0-notice-short": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-sa-4.0-notice-short": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "cc-by-nc-4.0-notice-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nd-4.0-notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "cc0-1.0-title": "CC0 1.0 Universal Public Domain Dedication",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                 "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                 "commercial or non-commercial, and by any means.",
+    "wtfpl": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+            "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+            "including commercial applications, and to alter it and redistribute it freely.",
+    "boost-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "epl-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
 }
 
 
