@@ -16,7 +16,8 @@ precision; vectors that are null, zero or hold a null or non-finite component li
    is found if other vectors connect it.
 
 What can be missed is a pair that no pass brings into one window and no chain of verified
-pairs connects; ``tests/llm`` measures recall against brute force.  Counting links inside a component is
+pairs connects; ``tests/llm`` measures recall against brute force.  As more vectors of a label stand between two near
+ones in each order, the number of passes follows the logarithm of the largest label (``passes_for``).  Counting links inside a component is
 quadratic in that component; blocks of ``BLOCK`` vectors spread it over tasks, and
 only counts are emitted.
 
@@ -27,6 +28,7 @@ length.  Empty tables give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,10 @@ from provisio.llm.common import stored
 from provisio.llm.components import components
 
 COSINE = 0.93
+#: passes for a label of up to PASSES_UP_TO vectors, and further ones for each doubling beyond
 PASSES = 16
+PASSES_UP_TO = 50_000
+MORE_PASSES = 2.7
 WINDOW = 24
 HASH_BITS = 62
 BLOCK = 1024
@@ -214,7 +219,12 @@ def link_counts(grouped: DataFrame, cosine: float, block: int) -> DataFrame:
     return met.groupBy("task").applyInArrow(count, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW, block: int = BLOCK,
+def passes_for(rows: int) -> int:
+    """Passes that keep the recall level: the more vectors a label has, the more stand between two near ones in a pass."""
+    return PASSES + max(0, math.ceil(MORE_PASSES * math.log2(max(rows, 1) / PASSES_UP_TO)))
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, passes: int | None = None, window: int = WINDOW, block: int = BLOCK,
                     id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     x = F.col(vec_col).cast("array<double>")
@@ -230,6 +240,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, passes: int = PA
         F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.min_by("x", "vec_id").alias("x0"), F.first("x").alias("x1"))
     known = stored(known.select("digest", "copies", "least", F.col("digest.label").alias("label"), F.coalesce("x0", "x1").alias("x"),
                                 F.xxhash64("digest").alias("id")), "vectors")
+    if passes is None:
+        passes = passes_for(known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
     signed = signatures(known, passes, HASH_BITS)
     found = components(neighbours(signed, window, cosine)).withColumnRenamed("component", "root")
     grouped = stored(known.join(found, "id").select(F.col("root").alias("component"), "id", "copies", "least", "x"), "grouped")
