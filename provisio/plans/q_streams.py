@@ -61,6 +61,49 @@ def stream_weekly_review(i):
     return _win(i, "7 days", "7 days", "4 days 9 hours")
 
 
+def _state_sql(size_us: int, off_us: int, select: str) -> str:
+    return (UPD + f", ranked AS (SELECT {_bucket(size_us, off_us)} AS window_start, product_id, stock, row_number() OVER (PARTITION BY "
+            f"{_bucket(size_us, off_us)}, product_id ORDER BY ts DESC, event_id DESC) AS rn FROM val), state AS (SELECT r.window_start, r.product_id, "
+            "r.stock, p.p_size AS lo, p.p_size * 5 AS hi FROM ranked r JOIN part p ON r.product_id = p.p_partkey WHERE rn = 1) " + select)
+
+
+def _state(i, duration, start=None):
+    """The last stock of each window and product, kept by the stream, and the product levels."""
+    upd = st.updates(st.read_events(i.spark, i.sf_dir))
+    state = st.run_to_table(st.window_stock(upd, duration, start, st.event_span(i.spark, i.sf_dir)), ["window_start", "product_id"], name="state")
+    products = scan(i.spark, i.sf_dir, "part", "p_partkey", "p_size").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_size").alias("min_stock_level"), (F.col("p_size") * 5).alias("max_stock_level"))
+    return state, products
+
+
+@query("stream_cycle_decisions", _state_sql(6 * HOUR_US, 0, (
+    "SELECT window_start, product_id, stock, CASE WHEN stock <= lo * 0.2 THEN 'immediate' ELSE 'scheduled' END AS urgency, "
+    "CAST(CASE WHEN stock <= lo * 0.2 THEN hi ELSE lo * 2 END - stock AS BIGINT) AS order_quantity FROM state WHERE stock < lo")))
+def stream_cycle_decisions(i):
+    """The orders that the cycle of every 6 hours decides from the stock at its end."""
+    return _ntz(st.cycle_decisions(*_state(i, "6 hours")))
+
+
+@query("stream_daily_status", _state_sql(DAY_US, 8 * HOUR_US, (
+    "SELECT window_start, count(*) AS products, count(*) FILTER (WHERE stock = 0) AS out_of_stock, "
+    "count(*) FILTER (WHERE stock <> 0 AND stock <= lo * 0.2) AS low, "
+    "count(*) FILTER (WHERE stock <> 0 AND stock > lo * 0.2 AND stock < lo) AS below_minimum, "
+    "count(*) FILTER (WHERE stock <> 0 AND stock > lo * 0.2 AND stock >= lo) AS stocked FROM state GROUP BY 1")))
+def stream_daily_status(i):
+    """The daily check at 08:00: stock status of the products of the day."""
+    return _ntz(st.daily_status(*_state(i, "1 day", "8 hours")))
+
+
+@query("stream_supplier_review", _state_sql(7 * DAY_US, (4 * 24 + 9) * HOUR_US, (
+    "SELECT window_start, l_suppkey AS supplier_id, count(*) AS products, count(*) FILTER (WHERE stock < lo) AS below_minimum, "
+    "count(*) FILTER (WHERE stock < lo) > 0.3 * count(*) AS review "
+    "FROM state JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) ON product_id = l_partkey GROUP BY 1, 2")))
+def stream_supplier_review(i):
+    """The weekly review, Monday 09:00: suppliers by the stock of what they deliver."""
+    from provisio.sources import adapter
+    return _ntz(st.supplier_review(*_state(i, "7 days", "4 days 9 hours"), adapter.product_suppliers(i.spark, i.sf_dir)))
+
+
 @query("stream_rolling_kpis", UPD + (
     "SELECT window_start, window_start + INTERVAL 30 DAY AS window_end, count(*) AS updates, "
     "count(*) FILTER (WHERE stock = 0) AS zero_stock_updates, "

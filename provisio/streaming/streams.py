@@ -81,6 +81,48 @@ def windowed_counts(upd: DataFrame, duration: str, slide: str | None = None, sta
                     "zero_stock_updates", F.col("_value").cast("double").alias("total_value")))
 
 
+def window_stock(upd: DataFrame, duration: str, start: str | None = None, delay: str = WATERMARK) -> DataFrame:
+    """The state that the scheduled reviews look at: each product's last stock in each window (by ts, event id).
+    The state is one row per window and product, and a repeated or late row changes nothing that is newer."""
+    w = F.window("ts", duration, duration, start) if start else F.window("ts", duration)
+    return (valid(upd).withWatermark("ts", delay).groupBy(w.alias("w"), "product_id")
+            .agg(F.max_by("stock", F.struct("ts", "event_id")).alias("stock"))
+            .select(F.col("w.start").alias("window_start"), "product_id", "stock"))
+
+
+LOW_STOCK = 0.2
+
+
+def cycle_decisions(state: DataFrame, products: DataFrame) -> DataFrame:
+    """What the cycle of each window orders: at or below a fifth of the minimum at once up to the maximum, below the
+    minimum as scheduled, up to twice the minimum."""
+    j = state.join(products.select("product_id", "min_stock_level", "max_stock_level"), "product_id").where(F.col("stock") < F.col("min_stock_level"))
+    now = F.col("stock") <= F.col("min_stock_level") * LOW_STOCK
+    level = F.when(now, F.col("max_stock_level")).otherwise(F.col("min_stock_level") * 2)
+    return j.select("window_start", "product_id", "stock", F.when(now, "immediate").otherwise("scheduled").alias("urgency"),
+                    (level - F.col("stock")).cast("long").alias("order_quantity"))
+
+
+def daily_status(state: DataFrame, products: DataFrame) -> DataFrame:
+    """Per day, how many of its products are out of stock, low, below their minimum or well stocked."""
+    j = state.join(products.select("product_id", "min_stock_level"), "product_id")
+    low = F.col("stock") <= F.col("min_stock_level") * LOW_STOCK
+    out = F.col("stock") == 0
+    below = F.col("stock") < F.col("min_stock_level")
+    return j.groupBy("window_start").agg(
+        F.count(F.lit(1)).alias("products"), F.count_if(out).alias("out_of_stock"), F.count_if(low & ~out).alias("low"),
+        F.count_if(below & ~low & ~out).alias("below_minimum"), F.count_if(~below & ~low & ~out).alias("stocked"))
+
+
+def supplier_review(state: DataFrame, products: DataFrame, pairs: DataFrame, share: float = 0.3) -> DataFrame:
+    """Per week and supplier, the products of theirs that were updated, how many are below their minimum, and whether
+    the supplier is reviewed (more than ``share`` of them)."""
+    j = state.join(products.select("product_id", "min_stock_level"), "product_id").join(pairs, "product_id")
+    found = j.groupBy("window_start", "supplier_id").agg(
+        F.count(F.lit(1)).alias("products"), F.count_if(F.col("stock") < F.col("min_stock_level")).alias("below_minimum"))
+    return found.withColumn("review", F.col("below_minimum") > F.lit(share) * F.col("products"))
+
+
 def latest_stock(upd: DataFrame) -> DataFrame:
     """Latest stock per product; a late row never overwrites a newer one (ordered by ts, event id).
     State is one row per product and no row is too late for it, so there is no watermark."""
