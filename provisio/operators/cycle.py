@@ -122,22 +122,26 @@ def supplier_policy(scored_suppliers: DataFrame, p: CycleParams = CycleParams())
     return supplier_ranking(allowed)
 
 
-def best_supplier(products: DataFrame, ranked_suppliers: DataFrame) -> DataFrame:
-    """For each product, its best-ranked supplier among the suppliers it lists."""
-    pairs = products.select("product_id", F.explode("supplier_ids").alias("supplier_id"))
-    j = pairs.join(ranked_suppliers.select("supplier_id", "name", "rank", "overall_score"), "supplier_id")
-    best = F.min_by(F.struct("supplier_id", "name", "overall_score"), F.col("rank"))
-    return j.groupBy("product_id").agg(best.alias("_b")).select(
-        "product_id", F.col("_b.supplier_id").alias("supplier_id"), F.col("_b.name").alias("supplier_name"),
-        F.col("_b.overall_score").alias("supplier_score"))
-
-
-def supplier_recommend(products: DataFrame, ranked_suppliers: DataFrame, n: int = 3) -> DataFrame:
-    """The n best suppliers of each product (rank of C3 within the product's list)."""
+def _pairs(products: DataFrame, pairs: DataFrame | None) -> DataFrame:
+    """The (product_id, supplier_id) table, or the pairs that a column ``supplier_ids`` of the products lists."""
+    return products.select("product_id", F.explode("supplier_ids").alias("supplier_id")) if pairs is None else pairs
+
+
+def best_supplier(products: DataFrame, ranked_suppliers: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """For each product, its best-ranked supplier among those that deliver it.
+
+    A rank names one supplier, so the best one is a minimum of numbers, partial before its shuffle."""
+    ranks = _pairs(products, pairs).join(ranked_suppliers.select("supplier_id", "rank"), "supplier_id")
+    best = ranks.groupBy("product_id").agg(F.min("rank").alias("rank"))
+    return best.join(ranked_suppliers, "rank").select(
+        "product_id", "supplier_id", F.col("name").alias("supplier_name"), F.col("overall_score").alias("supplier_score"))
+
+
+def supplier_recommend(products: DataFrame, ranked_suppliers: DataFrame, n: int = 3, pairs: DataFrame | None = None) -> DataFrame:
+    """The n best suppliers of each product (rank of C3 among those that deliver it)."""
     from pyspark.sql import Window
-    pairs = products.select("product_id", F.explode("supplier_ids").alias("supplier_id"))
-    j = pairs.join(ranked_suppliers.select("supplier_id", "name", "rank", "overall_score"), "supplier_id")
-    # window per product: bounded by the product's supplier list
+    j = _pairs(products, pairs).join(ranked_suppliers.select("supplier_id", "name", "rank", "overall_score"), "supplier_id")
+    # the first n of each task go to the shuffle, not all suppliers of a product
     w = Window.partitionBy("product_id").orderBy("rank")
     return (j.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= n)
             .select("product_id", "position", "supplier_id", "name", "overall_score"))
@@ -267,13 +271,13 @@ _IMMEDIATE, _RISK, _PRIORITY = "Immediate action required", "High stockout risk
 _BELOW, _STANDARD = "Below minimum stock level (", "Standard reorder"
 
 
-def _decide(items: DataFrame, products: DataFrame, ranked_suppliers: DataFrame, urgency: str, p: CycleParams) -> DataFrame:
+def _decide(items: DataFrame, products: DataFrame, ranked_suppliers: DataFrame, urgency: str, p: CycleParams,
+            pairs: DataFrame | None) -> DataFrame:
     """A decision for each item (product_id, ai_score, source): quantity, best supplier (or the default) and reasons.
 
     Immediate orders fill up to the maximum stock, scheduled ones to twice the minimum."""
-    prod = products.select("product_id", "name", "current_stock", "min_stock_level", "max_stock_level",
-                           "unit_cost", "supplier_ids")
-    d = items.join(prod, "product_id").join(best_supplier(prod, ranked_suppliers), "product_id", "left")
+    prod = products.select("product_id", "name", "current_stock", "min_stock_level", "max_stock_level", "unit_cost")
+    d = items.join(prod, "product_id").join(best_supplier(products, ranked_suppliers, pairs), "product_id", "left")
     level = F.col("max_stock_level") if urgency == "immediate" else F.col("min_stock_level") * 2
     qty = F.greatest(F.lit(0), level - F.col("current_stock")).cast("long")
     price = F.col("unit_cost").cast(MONEY)
@@ -293,7 +297,7 @@ def _decide(items: DataFrame, products: DataFrame, ranked_suppliers: DataFrame,
 
 
 def procurement_decisions(products: DataFrame, scored: DataFrame, ranked_suppliers: DataFrame,
-                          p: CycleParams = CycleParams(), k: int | None = None) -> DataFrame:
+                          p: CycleParams = CycleParams(), k: int | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """Urgent items, then high-risk items not already urgent; quantity up to maximum
     stock, best supplier (or the default), justification text.  ``k`` limits the urgent items to the
     first k; by default every Critical/High item is decided.
@@ -304,18 +308,18 @@ def procurement_decisions(products: DataFrame, scored: DataFrame, ranked_supplie
                                            F.lit("priority").alias("source"))
     risky = (high_risk_scored(scored, p).join(urgent.select("product_id"), "product_id", "left_anti")
              .select("product_id", F.col("risk_pred").alias("ai_score"), F.lit("risk").alias("source")))
-    return _decide(urgent.unionByName(risky), products, ranked_suppliers, "immediate", p)
+    return _decide(urgent.unionByName(risky), products, ranked_suppliers, "immediate", p, pairs)
 
 
 def scheduled_decisions(products: DataFrame, scored: DataFrame, ranked_suppliers: DataFrame, immediate: DataFrame,
-                        p: CycleParams = CycleParams()) -> DataFrame:
+                        p: CycleParams = CycleParams(), pairs: DataFrame | None = None) -> DataFrame:
     """The items of next week's schedule bucket (S9) that are not ordered at once, up to twice their minimum stock.
 
     An item whose stock is there already is not ordered."""
     items = (scored.where(priority_level("priority_pred") == "Medium")
              .select("product_id", F.col("priority_pred").alias("ai_score"), F.lit("priority").alias("source"))
              .join(immediate.select("product_id"), "product_id", "left_anti"))
-    return _decide(items, products, ranked_suppliers, "scheduled", p).where("order_quantity > 0")
+    return _decide(items, products, ranked_suppliers, "scheduled", p, pairs).where("order_quantity > 0")
 
 
 def procurement_orders(decisions: DataFrame, cycle_time: datetime = DEFAULT_CYCLE_TIME,

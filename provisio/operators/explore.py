@@ -102,13 +102,11 @@ def peak_months(lines: DataFrame) -> DataFrame:
 
 def seasonality(lines: DataFrame) -> DataFrame:
     """Quantity by month, by quarter and by weekday (Mon..Sun), with the extremes flagged."""
-    by_month = lines.groupBy(F.col("month").alias("key")).agg(F.sum("qty").alias("qty")) \
-        .withColumn("dimension", F.lit("month"))
-    by_quarter = lines.groupBy(F.col("quarter").alias("key")).agg(F.sum("qty").alias("qty")) \
-        .withColumn("dimension", F.lit("quarter"))
-    by_day = lines.groupBy(F.col("day_of_week").alias("key")).agg(F.sum("qty").alias("qty")) \
-        .withColumn("dimension", F.lit("weekday"))
-    u = by_month.unionByName(by_quarter).unionByName(by_day)
+    # one scan: at most 12 x 7 cells, which are then added up by each dimension
+    cells = lines.groupBy("month", "quarter", "day_of_week").agg(F.sum("qty").alias("qty"))
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(c).alias("key"))
+                               for d, c in (("month", "month"), ("quarter", "quarter"), ("weekday", "day_of_week"))]))
+    u = cells.select("qty", each.alias("e")).groupBy("e.dimension", "e.key").agg(F.sum("qty").alias("qty"))
     names = F.when(F.col("dimension") == "weekday",
                    F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.col("key") + 1))
     # at most 12 + 4 + 7 rows: the window over a dimension is tiny by construction

@@ -67,6 +67,10 @@ class Inputs:
     def products(self) -> DataFrame:
         return adapter.products(self.spark, self.sf_dir, self.inventory)
 
+    @cached_property
+    def supplier_pairs(self) -> DataFrame:
+        return adapter.product_suppliers(self.spark, self.sf_dir)
+
     @cached_property
     def suppliers(self) -> DataFrame:
         return adapter.suppliers(self.spark, self.sf_dir, self.lines)
@@ -85,11 +89,11 @@ class Inputs:
 
     @cached_property
     def decisions(self) -> DataFrame:
-        return cy.procurement_decisions(self.products, self.scored, self.ranked_suppliers)
+        return cy.procurement_decisions(self.products, self.scored, self.ranked_suppliers, pairs=self.supplier_pairs)
 
     @cached_property
     def scheduled(self) -> DataFrame:
-        return cy.scheduled_decisions(self.products, self.scored, self.ranked_suppliers, self.decisions)
+        return cy.scheduled_decisions(self.products, self.scored, self.ranked_suppliers, self.decisions, pairs=self.supplier_pairs)
 
     @cached_property
     def orders_out(self) -> DataFrame:

@@ -214,7 +214,7 @@ def supplier_policy(i):
 @query("best_supplier", _wc("SELECT * FROM bsup"))
 def best_supplier(i):
     """W6, J6."""
-    return cy.best_supplier(i.products, i.ranked_suppliers)
+    return cy.best_supplier(i.products, i.ranked_suppliers, i.supplier_pairs)
 
 
 @query("supplier_recommend", _wc(
@@ -225,7 +225,7 @@ def best_supplier(i):
     "JOIN ranked r ON p.supplier_id = r.supplier_id) WHERE position <= 3"))
 def supplier_recommend(i):
     """C27."""
-    return cy.supplier_recommend(i.products, i.ranked_suppliers)
+    return cy.supplier_recommend(i.products, i.ranked_suppliers, pairs=i.supplier_pairs)
 
 
 @query("supplier_performance", _wc(

@@ -78,15 +78,13 @@ def fulfillment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str, inventory: DataFrame | None = None) -> DataFrame:
-    """Product master: stock levels from part, current stock = latest month's inventory,
-    supplier list = distinct suppliers seen on its order lines."""
+    """Product master: stock levels from part, current stock = latest month's inventory.
+
+    Which suppliers deliver a product is a table of pairs (``product_suppliers``)."""
     pt = scan(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
     inv = inventory if inventory is not None else raw_inventory(spark, sf_dir)
     latest = inv.groupBy("product_id").agg(
         F.max_by(F.col("inventory"), F.struct(F.col("year_month"), -F.col("inventory"))).alias("current_stock"))
-    li = scan(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey")
-    sup = (li.groupBy(F.col("l_partkey").alias("product_id"))
-             .agg(F.array_sort(F.collect_set(F.col("l_suppkey"))).alias("supplier_ids")))
     return (pt.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"),
                       F.col("p_type").alias("category"),
                       F.col("p_size").alias("min_stock_level"),
@@ -94,10 +92,16 @@ def products(spark: SparkSession, sf_dir: str, inventory: DataFrame | None = Non
                       (F.col("p_retailprice") / 20.0).alias("unit_cost"),
                       F.col("p_size").alias("lead_time"))
             .join(latest, "product_id", "left")
-            .join(sup, "product_id", "left")
             .withColumn("current_stock", F.coalesce(F.col("current_stock"), F.lit(0.0)).cast("long")))
 
 
+def product_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(product_id, supplier_id): the distinct pairs seen on order lines, one row each."""
+    li = scan(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey")
+    return li.where("l_partkey is not null and l_suppkey is not null").select(
+        F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("supplier_id")).distinct()
+
+
 def suppliers(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     """Supplier master: reliability = 1 - share of its lines delivered late.
 
