@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import os
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provisio.session import materialize
+from provisio.session import checkpoint_dir
 from provisio.sources.tables import table_path
 
 
@@ -17,10 +20,41 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+_scopes: list[list[tuple[SparkSession, str]]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once into the shared folder and read back: later steps read files
     that outlive any executor, and every reader sees the same rows."""
-    return materialize(df, name)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    if _scopes:
+        _scopes[-1].append((spark, path))
+    return spark.read.parquet(path)
+
+
+@contextmanager
+def scratch():
+    """Tables that are stored inside are removed at the end: what is needed beyond has to be stored by then outside of it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _scopes.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored_result(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, stored; all tables that it stores on its way are removed."""
+    with scratch():
+        df = make()
+        inner = _scopes.pop()
+        try:
+            return stored(df, name)
+        finally:
+            _scopes.append(inner)
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

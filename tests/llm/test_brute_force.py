@@ -29,8 +29,8 @@ class Forest:
 
 
 def line_shingles(line):
-    """Runs of up to 16 characters from each word and from every eighth character of longer words."""
-    return {line[m.start() + k:m.start() + k + 16] for m in re.finditer(r"[^ \t-\r]+", line) for k in range(0, len(m[0]), 8)}
+    """Runs of 5 characters at every position; a shorter line is one."""
+    return {line[i:i + 5] for i in range(max(1, len(line) - 4))}
 
 
 def brute_lines(rows, similarity=0.75):
