@@ -19,6 +19,7 @@ from provisio.functions.columns import ratio
 from provisio.functions.ranking import global_row_number
 from provisio.params import CycleParams
 
+# Fixed values throughout this module: thresholds, weights, days, and the names and texts of levels, orders and alerts.
 MONEY = "decimal(18,4)"
 DEFAULT_CYCLE_TIME = datetime(2024, 1, 31, 8, 0, 0)
 
