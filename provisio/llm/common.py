@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -46,6 +47,20 @@ def scratch():
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def discard(*tables: DataFrame | None) -> None:
+    """Remove stored tables that nothing reads any more, and let the driver forget finished queries: Spark's cleaner
+    removes the shuffle files of those then, which it else does when the driver happens to collect its garbage."""
+    gone = [t for t in tables if t is not None]
+    for df in gone:
+        files = df.inputFiles()
+        if files:
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(os.path.dirname(files[0]))
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+    gc.collect()
+    if gone:
+        gone[0].sparkSession._jvm.System.gc()
+
+
 def stored_result(make: Callable[[], DataFrame], name: str) -> DataFrame:
     """What ``make`` returns, stored; all tables that it stores on its way are removed."""
     with scratch():
