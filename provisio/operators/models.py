@@ -109,7 +109,7 @@ def _scaling(cols: list[str], n: int) -> list:
             ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(cols)), inputCol="sample_scaled", outputCol="scaled")]
 
 
-def _pipeline(cols: list[str], estimator, select_k: int | None, n: int) -> Pipeline:
+def _preparation(cols: list[str], select_k: int | None, n: int) -> Pipeline:
     stages = _scaling(cols, n)
     if select_k:
         stages.append(UnivariateFeatureSelector(featuresCol="scaled", outputCol="features", labelCol="label",
@@ -117,8 +117,11 @@ def _pipeline(cols: list[str], estimator, select_k: int | None, n: int) -> Pipel
                       .setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(select_k))
     else:
         stages[-1].setOutputCol("features")
-    estimator.setFeaturesCol("features").setLabelCol("label")
-    return Pipeline(stages=stages + [estimator])
+    return Pipeline(stages=stages)
+
+
+def _pipeline(cols: list[str], estimator, select_k: int | None, n: int) -> Pipeline:
+    return Pipeline(stages=_preparation(cols, select_k, n).getStages() + [estimator.setFeaturesCol("features").setLabelCol("label")])
 
 
 def _sigma_n(train: DataFrame) -> tuple[float, int]:
@@ -126,12 +129,16 @@ def _sigma_n(train: DataFrame) -> tuple[float, int]:
     return float(row[0] or 0.0), int(row[1])
 
 
-def fit_candidate(train: DataFrame, cols: list[str], cand: Candidate, sigma: float, n: int,
-                  select_k: int | None = 15) -> PipelineModel:
+def _estimator(cand: Candidate, sigma: float, n: int):
     est = cand.build(sigma)
     if cand.name == "ridge":
         est.setRegParam(ALPHA * sigma / max(n, 1))
-    return _pipeline(cols, est, select_k if select_k and select_k < len(cols) else None, n).fit(train)
+    return est.setFeaturesCol("features").setLabelCol("label")
+
+
+def fit_candidate(train: DataFrame, cols: list[str], cand: Candidate, sigma: float, n: int,
+                  select_k: int | None = 15) -> PipelineModel:
+    return _pipeline(cols, _estimator(cand, sigma, n), select_k if select_k and select_k < len(cols) else None, n).fit(train)
 
 
 def _task_data(ml: DataFrame, task: str):
@@ -143,29 +150,47 @@ def _task_data(ml: DataFrame, task: str):
     return train, test, cols, sigma, n
 
 
-def _fit_one(task: str, data, cand: Candidate, select_k: int | None) -> dict:
-    train, test, cols, sigma, n = data
+def _prepared(data, select_k: int | None) -> tuple[list, DataFrame, DataFrame]:
+    """The fitted scaling and selection of a task, and its training and test vectors, stored: they are the same for every candidate."""
+    train, test, cols, _, n = data
+    fitted = _preparation(cols, select_k if select_k and select_k < len(cols) else None, n).fit(train)
+    keep = ["product_id", "label", "features"]
+    return fitted.stages, *[materialize(fitted.transform(part).select(keep), "vectors") for part in (train, test)]
+
+
+def _fit_one(task: str, data, prepared, cand: Candidate, fitted: dict | None = None) -> dict:
+    _, _, cols, sigma, n = data
+    stages, train, test = prepared
     try:
-        model = fit_candidate(train, cols, cand, sigma, n, select_k)
-        m = run_metric_values(model.transform(test)).first()
+        last = _estimator(cand, sigma, n).fit(train)
+        m = run_metric_values(last.transform(test)).first()
     except Exception as e:  # noqa: BLE001 - a failing model is skipped, and its row says so
         return dict(task=task, model=cand.name, status=f"failed: {type(e).__name__}")
-    chosen = [[cols[k] for k in st.selectedFeatures] for st in model.stages if hasattr(st, "selectedFeatures")]
+    if fitted is not None:
+        fitted[task, cand.name] = PipelineModel(stages=[*stages, last])
+    chosen = [[cols[k] for k in st.selectedFeatures] for st in stages if hasattr(st, "selectedFeatures")]
+    used = chosen[0] if chosen else list(cols)
     return dict(task=task, model=cand.name, status="ok", rmse=float(m.rmse) if m.rmse is not None else None,
                 mae=float(m.mae) if m.mae is not None else None,
                 r2=float(m.r2) if m.r2 is not None else None, test_rows=int(m.rows),
-                train_rows=n, num_features=min(select_k or len(cols), len(cols)),
+                train_rows=n, num_features=len(used),
                 mean_target=m.mean_target, std_target=m.std_target, mean_prediction=m.mean_prediction,
                 std_prediction=m.std_prediction, target_column=TASKS[task][0] if task in TASKS else None,
-                feature_selection_method="selectkbest" if chosen else "none", selected_features=chosen[0] if chosen else list(cols),
-                params={p.name: str(v) for p, v in model.stages[-1].extractParamMap().items()})
+                feature_selection_method="selectkbest" if chosen else "none", selected_features=used,
+                params={p.name: str(v) for p, v in last.extractParamMap().items()})
 
 
 def train_task(ml: DataFrame, task: str, candidates: Sequence[Candidate] = CANDIDATES,
                select_k: int | None = 15) -> list[dict]:
     """Split 80/20, select 15 features, scale, fit every candidate; a failing model is skipped."""
-    data = _task_data(ml, task)
-    return [_fit_one(task, data, c, select_k) for c in candidates]
+    return train_on(task, _task_data(ml, task), candidates, select_k)
+
+
+def train_on(task: str, data, candidates: Sequence[Candidate], select_k: int | None, parallelism: int = 1) -> list[dict]:
+    """One row of metrics per candidate on ``data``: (train, test, feature columns, std of the target, training rows)."""
+    prepared = _prepared(data, select_k)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda c: _fit_one(task, data, prepared, c), candidates))
 
 
 LEADERBOARD_SCHEMA = ("task string, model string, status string, rmse double, mae double, r2 double, "
@@ -178,13 +203,15 @@ RUN_SCHEMA = (LEADERBOARD_SCHEMA + ", mean_target double, std_target double, mea
 
 def model_leaderboard(spark: SparkSession, ml: DataFrame, tasks: Sequence[str] = tuple(TASKS),
                       candidates: Sequence[Candidate] = CANDIDATES, parallelism: int = 16,
-                      select_k: int | None = 15, schema: str = LEADERBOARD_SCHEMA) -> DataFrame:
+                      select_k: int | None = 15, schema: str = LEADERBOARD_SCHEMA, fitted: dict | None = None) -> DataFrame:
     """Every candidate for every task; the fits are submitted concurrently
-    (each fit is a set of distributed Spark jobs).  ``RUN_SCHEMA`` adds IO11's parameters and metrics."""
+    (each fit is a set of distributed Spark jobs) on vectors that are prepared and stored once per task.
+    ``RUN_SCHEMA`` adds IO11's parameters and metrics; ``fitted`` receives the pipelines by (task, model)."""
     data = {t: _task_data(ml, t) for t in tasks}
     jobs = [(t, c) for t in tasks for c in candidates]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(lambda tc: _fit_one(tc[0], data[tc[0]], tc[1], select_k), jobs))
+        prepared = dict(zip(data, pool.map(lambda t: _prepared(data[t], select_k), data)))
+        rows = list(pool.map(lambda tc: _fit_one(tc[0], data[tc[0]], prepared[tc[0]], tc[1], fitted), jobs))
     cols = [c.split()[0] for c in schema.split(", ")]
     return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], schema)
 
@@ -199,18 +226,16 @@ def best_model(leaderboard: DataFrame) -> DataFrame:
             .select("task", "metric", "b.model", "b.rmse", "b.mae", "b.r2"))
 
 
-def publish_best(spark: SparkSession, ml: DataFrame, leaderboard: DataFrame, root: str, select_k: int | None = 15) -> None:
-    """IO12: fit each task's selected candidate (L13) on the training rows once more and publish it with its metadata."""
+def publish_best(spark: SparkSession, ml: DataFrame, leaderboard: DataFrame, root: str, fitted: dict) -> None:
+    """IO12: publish each task's selected candidate (L13) as it was fitted for the leaderboard, with its metadata."""
     from provisio.sources import registry
 
     for row in best_model(leaderboard).collect():       # one row per task
-        train, test, cols, sigma, n = _task_data(ml, row.task)
-        cand = next(c for c in CANDIDATES if c.name == row.model)
-        model = fit_candidate(train, cols, cand, sigma, n, select_k)
-        m = regression_metrics(model.transform(test)).first()
+        _, cols = task_frame(ml, TASKS[row.task][0])
+        model = fitted[row.task, row.model]
         chosen = [[cols[k] for k in st.selectedFeatures] for st in model.stages if hasattr(st, "selectedFeatures")]
         registry.publish(spark, root, model, task=row.task, model=row.model, target=TASKS[row.task][0], metric=row.metric, columns=list(cols),
-                         selected=chosen[0] if chosen else list(cols), rmse=m.rmse, mae=m.mae, r2=m.r2,
+                         selected=chosen[0] if chosen else list(cols), rmse=row.rmse, mae=row.mae, r2=row.r2,
                          params={p.name: str(v) for p, v in model.stages[-1].extractParamMap().items()})
 
 

@@ -377,7 +377,9 @@ def _registry(i) -> str:
     root = os.path.join(checkpoint_dir(i.spark), "registry", hashlib.sha256(i.sf_dir.encode()).hexdigest()[:16])
     known = {r.task for r in registry.latest(i.spark, root).select("task").collect()}
     if known != set(TASKS):
-        mo.publish_best(i.spark, i.ml_table, _leaderboard(i), root)
+        fitted = {}
+        board = mo.model_leaderboard(i.spark, i.ml_table, fitted=fitted)
+        mo.publish_best(i.spark, i.ml_table, board, root, fitted)
     return root
 
 
@@ -439,9 +441,7 @@ def supplier_regression(i):
     sigma, n = mo._sigma_n(tr)
     cands = [x for x in mo.CANDIDATES if x.name in ("random_forest", "gradient_boosting", "linear_regression",
                                                     "ridge", "xgboost")]
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=5) as pool:
-        res = list(pool.map(lambda c: mo._fit_one("supplier", (tr, te, feats, sigma, n), c, None), cands))
+    res = mo.train_on("supplier", (tr, te, feats, sigma, n), cands, None, parallelism=5)
     rows = [(r["model"], r.get("rmse"), r.get("mae"), r.get("r2")) for r in res]
     out = i.spark.createDataFrame(rows, "model string, rmse double, mae double, r2 double")
     best = out.select(F.max_by("model", F.struct("r2", F.col("model"))).alias("best")).scalar()

@@ -25,14 +25,18 @@ def test_nothing_published(spark, tmp_path):
 
 def test_best_models_are_published_and_scored_in_another_session(spark, ml, tmp_path, monkeypatch):
     root = str(tmp_path)
-    board = mo.model_leaderboard(spark, ml, candidates=mo.CANDIDATES[:2], parallelism=4)
-    mo.publish_best(spark, ml, board, root)
+    fitted = {}
+    board = mo.model_leaderboard(spark, ml, candidates=mo.CANDIDATES[:2], parallelism=4, fitted=fitted)
+    mo.publish_best(spark, ml, board, root, fitted)
     best = {r.task: r.model for r in mo.best_model(board).collect()}
     found = {r.task: r for r in registry.latest(spark, root).collect()}
     assert {t: r.model for t, r in found.items()} == best and set(best) == set(TASKS)
     for t, r in found.items():
         assert TASKS[t][0] not in r.columns and len(r.scaler_mean) == len(r.scaler_std) == len(r.columns) and set(r.selected) <= set(r.columns)
         assert r.rmse is not None and r.published_at is not None
+        # the fit of the leaderboard is what is published: it gives the metrics that it was selected by
+        _, test, *_ = mo._task_data(ml, t)
+        assert abs(mo.regression_metrics(fitted[t, r.model].transform(test)).first().rmse - r.rmse) < 1e-9
     # another session, in which nothing may be fitted
     monkeypatch.setattr(Pipeline, "fit", lambda *a, **k: pytest.fail("scoring fits"))
     other = spark.newSession()
