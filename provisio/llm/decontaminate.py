@@ -126,7 +126,8 @@ def covered(spans: Column) -> Column:
 
 def _matched(docs: DataFrame, items: DataFrame, n: int, max_windows: int, id_col: str, text_col: str) -> DataFrame:
     """The documents' columns as ``row``, beside ``spans`` and ``items`` (null without a hit)."""
-    found = hits(docs, item_windows(items, n), max_windows, id_col, text_col)
+    # The scan for every document splits a text once; one for hit documents only filters by its words and splits it again.
+    found = hits(docs, item_windows(items, n), max_windows, id_col, text_col, every=True).where(F.size("spans") > 0)
     text = F.col(f"row.{text_col}").cast("string")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.select("row", F.col(f"row.{id_col}").alias("own_id"), text_key(text).alias("own_key"))
