@@ -34,6 +34,8 @@ from provisio.llm.common import slices, stored, texts
 from provisio.llm.sketch import shrunk, unshrunk
 
 SLICE_CHARS = 3_000_000
+#: what is aligned at once: some thirty arrays of the size of its tokens are in memory
+PART_CHARS = 300_000
 B_BITS = 16
 #: the fast encoder's regular expressions recurse over white space
 _LONG_BLANK = re.compile(r"\s{1000}")
@@ -202,6 +204,31 @@ def align(a: Tokens, b: Tokens, parts: list[str | None]) -> dict:
     return out
 
 
+def _parts(texts_: list[str | None], chars: int):
+    """Runs (from, to) of texts of ``chars`` characters, or of one longer text."""
+    lo = size = 0
+    for i, text in enumerate(texts_):
+        n = len(text or "")
+        if i > lo and size + n > chars:
+            yield lo, i
+            lo, size = i, 0
+        size += n
+    if lo < len(texts_):
+        yield lo, len(texts_)
+
+
+def align_slice(a: Tokens, b: Tokens, texts_: list[str | None], chars: int = PART_CHARS) -> dict:
+    """What the texts of a slice have, aligned part by part: counts and digests by text; each text's distinct pairs in order of
+    text and pair (``own``: text in the high bits) and how often it has each (``times``)."""
+    done = []
+    for lo, hi in _parts(texts_, chars):
+        found = align(a, b, texts_[lo:hi])
+        own, times = np.unique(((found.pop("text") + lo) << 40) | found.pop("pair"), return_counts=True)
+        done.append(found | {"own": own, "times": times.astype(np.uint32)})
+    joined = {c: np.concatenate([d[c] for d in done] or [np.zeros(0, np.int64)]) for c in (*_COUNTS, "own", "times")}
+    return joined | {"digests": [x for d in done for x in d["digests"]]}
+
+
 def _sliced(docs: DataFrame, path_a: str, path_b: str, chars: int) -> DataFrame:
     """One row per slice of documents (see the module)."""
 
@@ -212,9 +239,8 @@ def _sliced(docs: DataFrame, path_a: str, path_b: str, chars: int) -> DataFrame:
         assert len(b.of_id) <= 1 << B_BITS
         number = TaskContext.get().partitionId() << 32
         for ids, parts in slices(batches, chars):
-            found = align(a, b, parts)
-            # A text's pairs, each once, and how often it has them.
-            own, times = np.unique((found["text"] << 40) | found["pair"], return_counts=True)
+            found = align_slice(a, b, parts)
+            own, times = found.pop("own"), found.pop("times")
             pairs, at, holders = np.unique(own & ((1 << 40) - 1), return_inverse=True, return_counts=True)
             entries = np.bincount(own >> 40, minlength=len(parts))
             row = [[number], [ids], *([found[c].tolist()] for c in _COUNTS), [found["digests"]],
