@@ -90,7 +90,7 @@ def shipment_flags(i):
 @query("demand_features", with_ctes(f"SELECT {_cols(DEMAND_COLS)} FROM demand"))
 def demand_features(i):
     """Demand aggregate by product left-joined with its trend."""
-    return fe.demand_features(i.lines).select(*DEMAND_COLS)
+    return fe.demand_features(i.product_lines).select(*DEMAND_COLS)
 
 
 @query("monthly_demand", with_ctes("SELECT product_id, year, month, year_month, qty FROM monthly"))

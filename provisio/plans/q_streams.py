@@ -100,8 +100,7 @@ def stream_daily_status(i):
     "FROM state JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) ON product_id = l_partkey GROUP BY 1, 2")))
 def stream_supplier_review(i):
     """The weekly review, Monday 09:00: suppliers by the stock of what they deliver."""
-    from provisio.sources import adapter
-    return _ntz(st.supplier_review(*_state(i, "7 days", "4 days 9 hours"), adapter.product_suppliers(i.spark, i.sf_dir)))
+    return _ntz(st.supplier_review(*_state(i, "7 days", "4 days 9 hours"), i.supplier_pairs))
 
 
 @query("stream_rolling_kpis", UPD + (
