@@ -1,10 +1,11 @@
-"""Fits get partitions by their rows, the longest are submitted first, and no result changes with it."""
+"""Fits get partitions by their rows, the longest are submitted first, folds of all tasks run together, and no result changes with it."""
 
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from provisio.operators import models as mo
+from provisio.params import TASKS
 
 
 @pytest.fixture(scope="module")
@@ -43,3 +44,18 @@ def test_cached_node_ids_give_the_same_trees(ml):
             assert est.getCacheNodeIds()
             trees = [[t.toDebugString.split("\n", 1)[1] for t in e.fit(train).trees] for e in (est, est.copy({est.cacheNodeIds: False}))]
             assert trees[0] == trees[1]
+
+
+def test_folds_of_several_tasks_are_those_of_each(ml):
+    tasks = ("demand_forecast", "stockout_risk")
+    together = {r.task: r for r in mo.cv_r2(ml, tasks, "linear_regression").collect()}
+    for t in tasks:
+        alone = mo.cv_r2(ml, t, "linear_regression").first()
+        df, cols = mo.task_frame(ml, TASKS[t][0])
+        r2 = []
+        for k in range(5):      # 300 rows by key: 60 in a fold
+            held = (F.col("product_id") >= 60 * k) & (F.col("product_id") < 60 * (k + 1))
+            fit = mo.fit_candidate(df.where(~held), cols, mo.CANDIDATES[0], 1.0, 240, None)
+            r2.append(mo.regression_metrics(fit.transform(df.where(held))).first().r2)
+        assert together[t].folds == alone.folds == 5
+        assert abs(together[t].cv_r2_mean - sum(r2) / 5) < 1e-9 and abs(alone.cv_r2_mean - sum(r2) / 5) < 1e-9
