@@ -59,3 +59,25 @@ def test_folds_of_several_tasks_are_those_of_each(ml):
             r2.append(mo.regression_metrics(fit.transform(df.where(held))).first().r2)
         assert together[t].folds == alone.folds == 5
         assert abs(together[t].cv_r2_mean - sum(r2) / 5) < 1e-9 and abs(alone.cv_r2_mean - sum(r2) / 5) < 1e-9
+
+
+def test_run_metrics_fits_eight_at_a_time(spark, ml, monkeypatch):
+    from provisio.plans import q_models
+
+    class Seen(Exception):
+        pass
+
+    class Given:
+        ml_table, sf_dir = ml, "x"
+
+    Given.spark = spark
+    given = {}
+
+    def board(*args, **named):
+        given.update(named)
+        raise Seen
+
+    monkeypatch.setattr(mo, "model_leaderboard", board)
+    with pytest.raises(Seen):
+        q_models.run_metrics(Given)
+    assert given["parallelism"] == 8 and given["schema"] == mo.RUN_SCHEMA
